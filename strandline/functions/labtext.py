@@ -41,8 +41,13 @@ _IN_TAIL = re.compile(r"[\s,;]+in$", re.I)
 _RATIO = re.compile(r"\bratio\b|\bquotient\b|\(\s*sum\s*\)|\bsum of\b|\s\+\s|(?<=\w)\s*/\s*(?=[A-Za-z0-9]{2})|\btotal of\b", re.I)
 
 
+_UNITISH = re.compile(r"/|\bper\b|-1\W*$|⁻¹|%|\b(?:[mun]m|[µμ]m|kpa|torr|mm ?hg|mm ?\[hg\]|kilopascals?)\W*$", re.I)
+
+
 def _unit_tail(t: str) -> tuple[str, str] | None:
     """The longest tail of `t` that is a unit, and what stands before it."""
+    if not _UNITISH.search(t):
+        return None
     for m in re.finditer(r"[\s,;(\[]+", t):
         tail = t[m.end() :].strip(_EDGE.replace(".", "").replace("-", "") + ")]")
         low = tail.lower()

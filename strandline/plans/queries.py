@@ -1,4 +1,20 @@
 """Registry of core queries and their SQL."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators import harmonise
+from ..session import table as t
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return harmonise.found(t(spark, d, "measurements"), t(spark, d, "analytes_builtin"))
+
+
+def p6_model_report(spark: SparkSession, d: str) -> DataFrame:
+    return harmonise.model_report(t(spark, d, "measurements"), t(spark, d, "analytes_builtin"))
+
+
+QUERIES: dict = {"p6_found": p6_found, "p6_model_report": p6_model_report}
 SQL: dict = {}
