@@ -32,6 +32,7 @@ _WORD = re.compile(r"[^\W_]+")
 _FOREIGN = re.compile(r"[Ͱ-Ͽἀ-῿Ѐ-ԯ]")
 # Anything but these may be a look-alike by itself; they may be one only inside a word of another script.
 _SUSPECT = re.compile(r"[^\x00-\x7e¡-¬®-ÿĀ-ɏ‒-”•…†‡−×⁰-₎Ͱ-ϿЀ-ԯ]")
+_PLAIN = frozenset(c for c in map(chr, range(0x2500)) if not _SUSPECT.match(c) and not _FOREIGN.match(c))
 _MIXED = re.compile(
     r"[0-9A-Za-zÀ-ɏ][Ͱ-ϿЀ-ԯ]|[Ͱ-ϿЀ-ԯ][0-9A-Za-zÀ-ɏ]|[Ͱ-Ͽ][Ѐ-ԯ]|[Ѐ-ԯ][Ͱ-Ͽ]"
 )
@@ -100,8 +101,11 @@ def fold(text: str) -> str:
     line breaks are kept."""
     if text.isascii():
         return text
+    odd = set(text) - _PLAIN
+    if not odd:
+        return text
     t = text
-    if _SUSPECT.search(t):
+    if any(map(_SUSPECT.match, odd)):
         t = unicodedata.normalize("NFC", t).translate(_CHARS)
         t = unicodedata.normalize("NFC", t)  # a mark may have stood behind an invisible character
     return _WORD.sub(_word, t) if _MIXED.search(t) else t
