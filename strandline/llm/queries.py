@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table as t
-from . import canon_map, unify
+from . import canon_map, leakage, packing, unify
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,11 +28,31 @@ def p2_spellings(spark: SparkSession, d: str) -> DataFrame:
     return unify.class_sizes(t(spark, d, "measurements"))
 
 
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(t(spark, d, "documents"), t(spark, d, "pack_budgets"))
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(p7_packed(spark, d), t(spark, d, "pack_budgets"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.found(t(spark, d, "documents"), t(spark, d, "eval_items"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.report(t(spark, d, "documents"), t(spark, d, "eval_items"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found,
     "p1_unmatched": p1_unmatched,
     "p2_found": p2_found,
     "p2_spellings": p2_spellings,
+    "p7_packed": p7_packed,
+    "p7_fill": p7_fill,
+    "p8_found": p8_found,
+    "p8_report": p8_report,
 }
 
 SQL: dict[str, str] = {}
