@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table as t
-from . import canon_map, leakage, packing, unify
+from . import canon_map, leakage, packing, subjects, unify
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,14 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.report(t(spark, d, "documents"), t(spark, d, "eval_items"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.found(t(spark, d, "documents"), t(spark, d, "subjects"), t(spark, d, "subject_labels"))
+
+
+def p9_composition(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.composition(t(spark, d, "documents"), t(spark, d, "subjects"), t(spark, d, "subject_labels"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found,
     "p1_unmatched": p1_unmatched,
@@ -53,6 +61,8 @@ QUERIES: dict[str, Query] = {
     "p7_fill": p7_fill,
     "p8_found": p8_found,
     "p8_report": p8_report,
+    "p9_found": p9_found,
+    "p9_composition": p9_composition,
 }
 
 SQL: dict[str, str] = {}
