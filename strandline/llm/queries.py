@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table as t
-from . import canon_map, leakage, packing, subjects, unify
+from . import canon_map, leakage, names, packing, subjects, unify
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,14 @@ def p2_spellings(spark: SparkSession, d: str) -> DataFrame:
     return unify.class_sizes(t(spark, d, "measurements"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.found(t(spark, d, "documents"))
+
+
+def p4_entities(spark: SparkSession, d: str) -> DataFrame:
+    return names.entities(t(spark, d, "documents"))
+
+
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(t(spark, d, "documents"), t(spark, d, "pack_budgets"))
 
@@ -57,6 +65,8 @@ QUERIES: dict[str, Query] = {
     "p1_unmatched": p1_unmatched,
     "p2_found": p2_found,
     "p2_spellings": p2_spellings,
+    "p4_found": p4_found,
+    "p4_entities": p4_entities,
     "p7_packed": p7_packed,
     "p7_fill": p7_fill,
     "p8_found": p8_found,
