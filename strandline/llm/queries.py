@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table as t
-from . import canon_map, leakage, names, packing, subjects, unify
+from . import canon_map, entity_match, leakage, names, packing, subjects, unify
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,14 @@ def p4_entities(spark: SparkSession, d: str) -> DataFrame:
     return names.entities(t(spark, d, "documents"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return entity_match.found(t(spark, d, "individuals"), t(spark, d, "documents"))
+
+
+def p5_confidences(spark: SparkSession, d: str) -> DataFrame:
+    return entity_match.confidences(t(spark, d, "individuals"), t(spark, d, "documents"))
+
+
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(t(spark, d, "documents"), t(spark, d, "pack_budgets"))
 
@@ -67,6 +75,8 @@ QUERIES: dict[str, Query] = {
     "p2_spellings": p2_spellings,
     "p4_found": p4_found,
     "p4_entities": p4_entities,
+    "p5_found": p5_found,
+    "p5_confidences": p5_confidences,
     "p7_packed": p7_packed,
     "p7_fill": p7_fill,
     "p8_found": p8_found,
