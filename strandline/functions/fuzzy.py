@@ -117,10 +117,20 @@ def partial_ratio(a: str, b: str) -> float:
     return best
 
 
-def weighted_ratio(a: str, b: str) -> float:
-    """The mix of plain, token and partial ratios, scaled by how different the lengths are."""
+def most_possible(a: str, b: str, common: int) -> float:
+    """An upper bound of `weighted_ratio` from the number of letters in common (with multiplicity)."""
+    shorter = min(len(a), len(b))
+    return 100.0 if set(a.split()) & set(b.split()) else max(200.0 * common / (len(a) + len(b)), 100.0 * common / shorter if shorter else 0.0)
+
+
+def weighted_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
+    """The mix of plain, token and partial ratios, scaled by how different the lengths are; 0 where it can't reach the cutoff."""
     if not a or not b:
         return 0.0
+    if cutoff:
+        common = sum(min(a.count(c), b.count(c)) for c in set(a))
+        if most_possible(a, b, common) < cutoff:
+            return 0.0
     whole = indel_ratio(a, b)
     length = max(len(a), len(b)) / min(len(a), len(b))
     if length < 1.5:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import documents, problems
+from . import catalogue, documents, problems
 
-QUERIES: dict = documents.QUERIES | problems.QUERIES
-SQL: dict = documents.SQL | problems.SQL
+QUERIES: dict = documents.QUERIES | catalogue.QUERIES | problems.QUERIES
+SQL: dict = documents.SQL | catalogue.SQL | problems.SQL
