@@ -102,15 +102,19 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(indel_ratio(left, right), *((indel_ratio(base, left), indel_ratio(base, right)) if both else (0.0,)))
 
 
-def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter text with any window of the longer one of the same or smaller length."""
+def partial_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
+    """The best ratio of the shorter text with any window of the longer one of the same or smaller length; 0 where the
+    letters in common order can't reach the cutoff."""
     s, t = (a, b) if len(a) <= len(b) else (b, a)
     if not s:
         return 100.0 if not t else 0.0
-    n, best = len(s), 0.0
+    n, most = len(s), _lcs(s, t)
+    if 200.0 * most / (n + most) < cutoff or not most:
+        return 0.0
+    best, letters = 0.0, set(s)
     for i in range(1 - n, len(t)):
         w = t[max(0, i) : i + n]
-        if w and (w[0] in s or w[-1] in s):
+        if w and (w[0] in letters or w[-1] in letters):
             best = max(best, indel_ratio(s, w))
             if best == 100.0:
                 break
@@ -136,10 +140,11 @@ def weighted_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
     if length < 1.5:
         return max(whole, 0.95 * max(token_sort_ratio(a, b), token_set_ratio(a, b)))
     scale = 0.9 if length <= 8 else 0.6
-    best = max(whole, partial_ratio(a, b) * scale)
+    best = max(whole, scale * partial_ratio(a, b, max(whole, cutoff) / scale))
     x, y = set(a.split()), set(b.split())
     if x & y:
         tokens = 100.0
     else:
-        tokens = max(partial_ratio(" ".join(sorted(x)), " ".join(sorted(y))), partial_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split()))))
+        need = max(best, cutoff) / (0.95 * scale)
+        tokens = partial_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())), need)
     return max(best, 0.95 * scale * tokens)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -67,16 +68,18 @@ def ground_genes(symbols: DataFrame, genes: DataFrame, col: str = "symbol") -> D
 def _candidates(names: list[tuple[str, str]], scorer: str, cutoff: float, top: int):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         score = SCORERS[scorer]
+
+        @lru_cache(maxsize=100_000)
+        def best(k: str) -> list[tuple]:
+            hits = []
+            for n, (name, label) in enumerate(names):
+                s = score(k, name, cutoff) if score is weighted_ratio else score(k, name)
+                if s >= cutoff:
+                    hits.append((-s, n, name, label))
+            return [(rank, name, label, round(-s / 100, 3), round(token_sort_ratio(k, name) / 100, 3)) for rank, (s, _, name, label) in enumerate(sorted(hits)[:top], 1)]
+
         for pdf in it:
-            out = []
-            for text, k in zip(pdf["text"], pdf["key"], strict=True):
-                hits = []
-                for n, (name, label) in enumerate(names):
-                    s = score(k, name, cutoff) if score is weighted_ratio else score(k, name)
-                    if s >= cutoff:
-                        hits.append((-s, n, name, label))
-                for rank, (s, _, name, label) in enumerate(sorted(hits)[:top], 1):
-                    out.append((text, rank, name, label, round(-s / 100, 3), round(token_sort_ratio(k, name) / 100, 3)))
+            out = [(text, *hit) for text, k in zip(pdf["text"], pdf["key"], strict=True) for hit in best(k)]
             yield pd.DataFrame(out, columns=["text", "rank", "name", "label", "score", "strict"]).astype({"rank": "int32"})
 
     return run
@@ -89,7 +92,7 @@ def fuzzy(texts: DataFrame, lex: DataFrame, vocabulary: str, scorer: str = "toke
     if (n := lex.limit(BROADCAST_ROWS + 1).count()) > BROADCAST_ROWS:
         raise ValueError(f"a fuzzy search scores every entry: the lexicon must not exceed {BROADCAST_ROWS} rows, it has {n} or more")
     names = sorted((r[0], r[1]) for r in lex.select("key", "label").collect())
-    d = texts.select("text").where("text is not null").distinct().withColumn("key", key(F.col("text"), vocabulary)).where("key <> ''").repartition(texts.sparkSession.sparkContext.defaultParallelism, "text")
+    d = texts.select("text").where("text is not null").distinct().withColumn("key", key(F.col("text"), vocabulary)).where("key <> ''").repartition(texts.sparkSession.sparkContext.defaultParallelism, "key")
     c = d.mapInPandas(_candidates(names, scorer, cutoff, top), "text string, rank int, name string, label string, score double, strict double")
     second = c.where("rank = 2").select("text", F.col("score").alias("score2"), F.col("label").alias("label2"))
     measure = F.col("strict") if scorer == "token_set" else F.col("score")

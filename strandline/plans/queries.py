@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalogue, documents, problems, records
+from . import catalogue, documents, intake, problems, records
 
-QUERIES: dict = documents.QUERIES | catalogue.QUERIES | records.QUERIES | problems.QUERIES
-SQL: dict = documents.SQL | catalogue.SQL | records.SQL | problems.SQL
+QUERIES: dict = documents.QUERIES | catalogue.QUERIES | records.QUERIES | intake.QUERIES | problems.QUERIES
+SQL: dict = documents.SQL | catalogue.SQL | records.SQL | intake.SQL | problems.SQL
