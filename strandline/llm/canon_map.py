@@ -146,7 +146,7 @@ def map_to_list(values: DataFrame, entries: DataFrame, kind: str = "analyte", th
 
     `distance` is -1 where nothing matched. The count of the list decides between broadcast and shards.
     """
-    values = values.select("row_key", "text").where(F.col("text").isNotNull())
+    values = values.select(F.col("row_key").cast("string").alias("row_key"), "text").where(F.col("text").isNotNull())
     entries = entries.select("spelling", "target").where("spelling is not null and target is not null").distinct()
     n = entries.count()
     if n <= broadcast_entries:

@@ -16,12 +16,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.lookalike import fold, unify
 
 
-@F.pandas_udf("struct<mapped:string,folded:boolean>")
+@F.pandas_udf(T.StructType([T.StructField("mapped", T.StringType()), T.StructField("folded", T.BooleanType())]))
 def _map(texts: pd.Series) -> pd.DataFrame:
     codes, uniques = pd.factorize(texts)
     mapped = [unify(x) for x in uniques]
