@@ -26,20 +26,34 @@ def _unit(kind: str, n: Column, m: Column, anchor: Column, text: Column, cells:
     return F.struct(F.lit(kind).alias("kind"), n.cast("int").alias("n"), m.cast("int").alias("m"), anchor.alias("anchor"), text.alias("text"), (cells if cells is not None else F.lit(None).cast("array<string>")).alias("cells"))
 
 
-def _first_line(lines: Column, pattern: str, group: int) -> Column:
-    hit = F.try_element_at(F.filter(lines, lambda x: x.rlike(pattern)), F.lit(1))
+def is_paragraph(x: Column) -> Column:
+    """A cheap prefix test before the pattern: most lines fail it."""
+    return F.startswith(x, F.lit("[sec:")) & x.rlike(PARAGRAPH)
+
+
+def is_figure(x: Column) -> Column:
+    return F.startswith(x, F.lit("Figure ")) & x.rlike(FIGURE)
+
+
+def is_row(x: Column) -> Column:
+    return F.startswith(x, F.lit("| r")) & x.rlike(ROW)
+
+
+def _first_line(lines: Column, prefix: str, pattern: str, group: int) -> Column:
+    hit = F.try_element_at(F.filter(lines, lambda x: F.startswith(x, F.lit(prefix)) & x.rlike(pattern)), F.lit(1))
     return F.regexp_extract(hit, pattern, group)
 
 
-def _abstract(lines: Column) -> Column:
+_ABSTRACT = (
+    r"(?m)^## Abstract \[abstract\].*\n(?:[ \t]*\n)*"
+    r"((?:(?![ \t]*$|#{2,4} .*\[(?:sec|tab):\d+\][ \t]*$|\[sec:\d+ ¶\d+\] |Figure \S+: ).*(?:\n|\z))*)"
+)
+
+
+def _abstract(text: Column) -> Column:
     """The lines below the abstract's heading up to the next blank line or heading, joined by line breaks."""
-    start = F.array_position(F.transform(lines, lambda x: F.startswith(x, F.lit("## Abstract [abstract]"))), F.lit(True)).cast("int")
-    rest = F.slice(lines, start + 1, F.size(lines))
-    first = F.array_position(F.transform(rest, lambda x: F.trim(x) != ""), F.lit(True)).cast("int")
-    body = F.slice(rest, F.greatest(first, F.lit(1)), F.size(rest))
-    stop = F.array_position(F.transform(body, lambda x: (F.trim(x) == "") | x.rlike(SECTION) | x.rlike(TABLE) | x.rlike(PARAGRAPH) | x.rlike(FIGURE)), F.lit(True)).cast("int")
-    kept = F.when(stop > 0, F.slice(body, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(body)
-    return F.when((start > 0) & (first > 0), truthy(F.array_join(F.transform(kept, lambda x: F.trim(x)), "\n")))
+    block = F.rtrim(F.regexp_extract(text, _ABSTRACT, 1), F.lit("\n"))
+    return truthy(F.array_join(F.transform(F.split(block, "\n"), lambda x: F.trim(x)), "\n"))
 
 
 def _tables(md: Column) -> Column:
@@ -49,19 +63,17 @@ def _tables(md: Column) -> Column:
     return F.transform(own, lambda p: F.element_at(F.split(p, r"(?m)^(?=#{2,4} .+? \[sec:\d+\]\s*$|Figure \S+: )(?!### Table )"), 1))
 
 
-def units(documents: DataFrame, text: str = "text") -> DataFrame:
-    """Every finest unit of every document: title, abstract, paragraphs, table rows, figures, in document order.
+def unit_array(text: Column) -> Column:
+    """All finest units of one text as an array of structs `(kind, n, m, anchor, text, cells)`, in document order."""
+    lines = F.split(text, "\n")
+    title = truthy(F.trim(_first_line(lines, "# ", r"^# (.*)$", 1)))
 
-    Adds `(ord, kind, n, m, anchor, unit, cells)` to the other columns; later duplicates of an anchor replace earlier ones.
-    """
-    lines = F.col("_lines")
-    others = [c for c in documents.columns if c != text]
-    d = documents.where(F.col(text).isNotNull()).withColumn("_lines", F.split(text, "\n"))
-    title = truthy(F.trim(_first_line(lines, r"^# (.*)$", 1)))
-    paragraphs = F.transform(
-        F.filter(lines, lambda x: x.rlike(PARAGRAPH)),
-        lambda x: _unit("paragraph", F.regexp_extract(x, PARAGRAPH, 1), F.regexp_extract(x, PARAGRAPH, 2), F.concat(F.lit("sec:"), F.regexp_extract(x, PARAGRAPH, 1), F.lit(" ¶"), F.regexp_extract(x, PARAGRAPH, 2)), F.regexp_extract(x, PARAGRAPH, 3)),
-    )
+    def paragraph(x: Column) -> Column:
+        anchor = F.substring_index(F.substring(x, 2, 60), "]", 1)  # "sec:N ¶M"
+        n, m = F.substring_index(F.substring_index(anchor, ":", -1), " ", 1), F.substring_index(anchor, "¶", -1)
+        return _unit("paragraph", n, m, F.concat(F.lit("sec:"), n.cast("int"), F.lit(" ¶"), m.cast("int")), x.substr(F.length(anchor) + 4, F.length(x)))
+
+    paragraphs = F.transform(F.filter(lines, is_paragraph), paragraph)
 
     def rows(piece: Column) -> Column:
         tab = F.regexp_extract(F.element_at(F.split(piece, "\n"), 1), TABLE, 2)
@@ -71,12 +83,20 @@ def units(documents: DataFrame, text: str = "text") -> DataFrame:
             r = F.regexp_extract(x, ROW, 1)
             return _unit("row", tab, r, F.concat(F.lit("tab:"), tab, F.lit(" r"), r), F.array_join(cells, " | "), cells)
 
-        return F.transform(F.filter(F.split(piece, "\n"), lambda x: x.rlike(ROW)), row)
+        return F.transform(F.filter(F.split(piece, "\n"), is_row), row)
 
-    figures = F.transform(F.filter(lines, lambda x: x.rlike(FIGURE)), lambda x: _unit("figure", F.lit(None), F.lit(None), F.concat(F.lit("fig:"), F.regexp_extract(x, FIGURE, 1)), F.regexp_extract(x, FIGURE, 2)))
-    head = F.array(_unit("title", F.lit(None), F.lit(None), F.lit("title"), title), _unit("abstract", F.lit(None), F.lit(None), F.lit("abstract"), _abstract(lines)))
-    everything = F.concat(F.filter(head, lambda u: u["text"].isNotNull()), paragraphs, F.flatten(F.transform(_tables(F.col(text)), rows)), figures)
-    u = d.select(*others, F.posexplode(everything).alias("ord", "u"))
+    figures = F.transform(F.filter(lines, is_figure), lambda x: _unit("figure", F.lit(None), F.lit(None), F.concat(F.lit("fig:"), F.regexp_extract(x, FIGURE, 1)), F.regexp_extract(x, FIGURE, 2)))
+    head = F.array(_unit("title", F.lit(None), F.lit(None), F.lit("title"), title), _unit("abstract", F.lit(None), F.lit(None), F.lit("abstract"), _abstract(text)))
+    return F.concat(F.filter(head, lambda u: u["text"].isNotNull()), paragraphs, F.flatten(F.transform(_tables(text), rows)), figures)
+
+
+def units(documents: DataFrame, text: str = "text") -> DataFrame:
+    """Every finest unit of every document: title, abstract, paragraphs, table rows, figures, in document order.
+
+    Adds `(ord, kind, n, m, anchor, unit, cells)` to the other columns.
+    """
+    others = [c for c in documents.columns if c != text]
+    u = documents.where(F.col(text).isNotNull()).select(*others, F.posexplode(unit_array(F.col(text))).alias("ord", "u"))
     return u.select(*others, "ord", "u.kind", "u.n", "u.m", "u.anchor", F.col("u.text").alias("unit"), "u.cells")
 
 
@@ -95,7 +115,7 @@ def table_heads(documents: DataFrame, text: str = "text") -> DataFrame:
 def section_titles(documents: DataFrame, text: str = "text") -> DataFrame:
     """(…, n, title) of every section heading; the first heading of a number counts."""
     others = [c for c in documents.columns if c != text]
-    s = documents.where(F.col(text).isNotNull()).select(*others, F.explode(F.filter(F.split(text, "\n"), lambda x: x.rlike(SECTION))).alias("h"))
+    s = documents.where(F.col(text).isNotNull()).select(*others, F.explode(F.filter(F.split(text, "\n"), lambda x: F.startswith(x, F.lit("##")) & x.rlike(SECTION))).alias("h"))
     return s.select(*others, F.regexp_extract("h", SECTION, 2).cast("int").alias("n"), F.regexp_extract("h", SECTION, 1).alias("title"), F.rlike("h", F.lit(REFERENCE_LIKE)).alias("reference_like"))
 
 
@@ -112,28 +132,43 @@ def normal_anchor(a: Column) -> Column:
     )
 
 
-def resolved(u: DataFrame, key: str) -> DataFrame:
-    """All anchor forms of `units` as (key, anchor, text): units, whole sections, table rows, cells, columns and tables."""
-    fine = u.where("unit <> ''").select(key, "anchor", F.col("unit").alias("text"))
-    ordered = F.array_sort(F.collect_list(F.struct("m", "unit")))
-    sections = u.where("kind = 'paragraph'").groupBy(key, "n").agg(F.array_join(F.transform(ordered, lambda x: x["unit"]), "\n\n").alias("text")).select(key, F.concat(F.lit("sec:"), "n").alias("anchor"), "text")
-    rows = u.where("kind = 'row'")
-    cells = rows.select(key, "n", "m", F.col("cells")[0].alias("first"), F.posexplode("cells").alias("j", "cell"))
-    cell = cells.select(key, F.concat(F.lit("tab:"), "n", F.lit(" r"), "m", F.lit("c"), F.col("j") + 1).alias("anchor"), F.col("cell").alias("text"))
-    line = F.when(F.col("j") > 0, F.concat("first", F.lit(": "), "cell")).otherwise(F.col("cell"))
-    columns = cells.groupBy(key, "n", "j").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("m"), line.alias("line")))), lambda x: x["line"]), "\n").alias("text"))
-    columns = columns.select(key, F.concat(F.lit("tab:"), "n", F.lit("c"), F.col("j") + 1).alias("anchor"), "text")
-    return fine.unionByName(sections).unionByName(cell).unionByName(columns)
+def _form(anchor: Column, text: Column) -> Column:
+    return F.struct(anchor.cast("string").alias("anchor"), text.alias("text"))
+
+
+def resolved(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """All anchor forms as (key, anchor, text): units, whole sections, table rows, cells and columns. Built within each row."""
+    d = documents.where(F.col(text).isNotNull()).select(key, unit_array(F.col(text)).alias("us"))
+    fine = F.transform(F.filter("us", lambda u: u["text"] != ""), lambda u: _form(u["anchor"], u["text"]))
+    of = lambda kind: F.filter("us", lambda u: u["kind"] == kind)
+    numbers = lambda kind: F.array_distinct(F.transform(of(kind), lambda u: u["n"]))
+    mine = lambda kind, n: F.array_sort(F.filter(of(kind), lambda u: u["n"] == n), lambda a, b: a["m"] - b["m"])
+    sections = F.transform(numbers("paragraph"), lambda n: _form(F.concat(F.lit("sec:"), n), F.array_join(F.transform(mine("paragraph", n), lambda u: u["text"]), "\n\n")))
+    cells = F.flatten(F.transform(of("row"), lambda u: F.transform(u["cells"], lambda c, j: _form(F.concat(u["anchor"], F.lit("c"), j + 1), c))))
+
+    def columns(n: Column) -> Column:
+        rows = mine("row", n)
+        width = F.array_max(F.transform(rows, lambda u: F.size(u["cells"])))
+
+        def column(j: Column) -> Column:
+            there = F.filter(rows, lambda u: F.size(u["cells"]) >= j)
+            line = lambda u: F.when(j > 1, F.concat(u["cells"][0], F.lit(": "), u["cells"][j - 1])).otherwise(u["cells"][0])
+            return _form(F.concat(F.lit("tab:"), n, F.lit("c"), j), F.array_join(F.transform(there, line), "\n"))
+
+        return F.transform(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), column)
+
+    forms = F.concat(fine, sections, cells, F.flatten(F.transform(numbers("row"), columns)))
+    return d.select(key, F.explode(forms).alias("f")).select(key, "f.anchor", "f.text")
 
 
-def verify_quotes(quotes: DataFrame, u: DataFrame, documents: DataFrame, key: str = "pmid", text: str = "text") -> DataFrame:
+def verify_quotes(quotes: DataFrame, documents: DataFrame, key: str = "pmid", text: str = "text") -> DataFrame:
     """Where quotes occur: `quotes(key, anchor, quote)` → plus `(anchor_exists, in_anchor, in_document, start, stop)`.
 
     White space is squashed on both sides. A quote longer than 80 characters may match by its first 80; its end is still
     counted with the full length. Distinct quotes are looked up once; whole texts are read only for those not at their anchor.
     """
     q = quotes.select(key, "anchor", "quote").distinct().withColumns({"_q": squash(F.coalesce("quote", F.lit(""))), "_a": normal_anchor(F.col("anchor"))})
-    target = resolved(u, key).dropDuplicates([key, "anchor"]).select(key, F.col("anchor").alias("_a"), squash(F.col("text")).alias("_t"))
+    target = resolved(documents, key, text).dropDuplicates([key, "anchor"]).select(key, F.col("anchor").alias("_a"), squash(F.col("text")).alias("_t"))
     head = F.substring("_q", 1, TOLERANT_LENGTH)
     long_ = F.length("_q") > TOLERANT_LENGTH
     at = q.join(target, [key, "_a"], "left")

@@ -47,8 +47,8 @@ def claim_summary(c: DataFrame) -> DataFrame:
     return c.groupBy("claim_type").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("gene_symbol")).alias("genes"))
 
 
-def claim_issues(c: DataFrame, units: DataFrame, documents: DataFrame) -> DataFrame:
+def claim_issues(c: DataFrame, documents: DataFrame) -> DataFrame:
     """Claims whose quote is missing or occurs nowhere in the document."""
-    v = verify_quotes(c.select("pmid", "anchor", "quote"), units, documents)
+    v = verify_quotes(c.select("pmid", "anchor", "quote"), documents)
     j = c.join(v.select("pmid", "anchor", "quote", "in_document"), ["pmid", "anchor", "quote"], "left")
     return j.select("pmid", "idx", F.when(F.coalesce("quote", F.lit("")) == "", "no evidence quote").when(~F.coalesce("in_document", F.lit(False)), "quote not found").alias("issue")).where("issue is not null")

@@ -26,16 +26,17 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def evidence(spark: SparkSession, d: str) -> DataFrame:
-    """(record_id, pmid, grp, idx, anchor, quote) of every evidence of a record's facts."""
-    r = _records(spark, d)
-    parts = []
-    for g in GROUPS:
-        e = r.select("record_id", "pmid", F.lit(g).alias("grp"), F.posexplode(f"record.{g}").alias("idx", "x")).where("x is not null and x.evidence is not null")
-        parts.append(e.select("record_id", "pmid", "grp", F.col("idx").cast("bigint").alias("idx"), "x.evidence.anchor", "x.evidence.quote"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(record_id, pmid, grp, idx, anchor, quote) of every evidence of a record's facts; repeats of a record count once.
+
+    One scan and one explode; only the narrow rows are deduplicated.
+    """
+
+    def group(g: str):  # noqa: ANN202
+        items = F.transform(f"record.{g}", lambda x, i: F.struct(F.lit(g).alias("grp"), i.cast("bigint").alias("idx"), x["evidence"]["anchor"].alias("anchor"), x["evidence"]["quote"].alias("quote"), x["evidence"].isNotNull().alias("there")))
+        return F.coalesce(F.filter(items, lambda e: e["there"]), F.array())
+
+    x = t(spark, d, "individuals").where("record_id is not null").select("record_id", "pmid", F.explode(F.concat(*map(group, GROUPS))).alias("e"))
+    return x.select("record_id", "pmid", "e.grp", "e.idx", "e.anchor", "e.quote").dropDuplicates(["record_id", "grp", "idx"])
 
 
 _EVIDENCE = " UNION ALL ".join(
@@ -71,19 +72,17 @@ def units_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 
 def table_cells(spark: SparkSession, d: str) -> DataFrame:
     """Table columns and cells, resolved."""
-    u = anchors.units(t(spark, d, "documents").select("doc_id", "text")).where("kind = 'row'")
-    return anchors.resolved(u, "doc_id").where(F.col("anchor").rlike(r"c\d+$"))
+    return anchors.resolved(t(spark, d, "documents").select("doc_id", "text"), "doc_id").where(F.col("anchor").rlike(r"^tab:\d+.*c\d+$"))
 
 
 def section_texts(spark: SparkSession, d: str) -> DataFrame:
-    u = anchors.units(t(spark, d, "documents").select("doc_id", "text")).where("kind = 'paragraph'")
-    return anchors.resolved(u, "doc_id").where(F.col("anchor").rlike(r"^sec:\d+$"))
+    return anchors.resolved(t(spark, d, "documents").select("doc_id", "text"), "doc_id").where(F.col("anchor").rlike(r"^sec:\d+$"))
 
 
 def _verified(spark: SparkSession, d: str) -> DataFrame:
     docs = _docs(spark, d, "pmid", "text")
     e = evidence(spark, d)
-    v = anchors.verify_quotes(e, anchors.units(docs.select("pmid", "text")), docs.select("pmid", "text"))
+    v = anchors.verify_quotes(e, docs.select("pmid", "text"))
     k = lambda df, s: df.withColumnsRenamed({"anchor": f"_a{s}", "quote": f"_q{s}", "pmid": f"_p{s}"})
     j = e.join(k(v, "v"), (F.col("pmid").eqNullSafe(F.col("_pv"))) & F.col("anchor").eqNullSafe(F.col("_av")) & F.col("quote").eqNullSafe(F.col("_qv")), "left")
     return j.drop("_pv", "_av", "_qv")

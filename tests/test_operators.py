@@ -39,7 +39,7 @@ def test_units_and_anchors(spark):
     u = anchors.units(docs(spark, [("1", MD, "clash"), ("2", None, None), ("3", "", None)]).drop("anchor"))
     got = {r.anchor: r.unit for r in u.collect()}
     assert got == {"title": "Title", "abstract": "First line.\nsecond line", "sec:2 ¶1": "The patient was  seen twice.", "sec:2 ¶2": "Another one.", "tab:1 r1": "head | P1", "tab:1 r2": "ammonia | 480", "fig:F1": "A picture."}
-    whole = {r.anchor: r.text for r in anchors.resolved(u, "pmid").collect()}
+    whole = {r.anchor: r.text for r in anchors.resolved(docs(spark, [("1", MD, None), ("2", None, None)]), "pmid").collect()}
     assert whole["sec:2"] == "The patient was  seen twice.\n\nAnother one."
     assert whole["tab:1c2"] == "head: P1\nammonia: 480" and whole["tab:1 r2c2"] == "480"
     heads = anchors.table_heads(docs(spark, [("1", MD, None)]).drop("anchor")).first()
@@ -51,7 +51,7 @@ def test_quotes(spark):
     long_ = "x" * 90
     d = d.unionByName(spark.createDataFrame([("2", f"[sec:1 ¶1] {long_} end")], "pmid string, text string"))
     q = spark.createDataFrame([("1", "sec:2¶1", "The patient was seen"), ("1", "tab:9", "Another one."), ("1", None, "no such"), ("1", "abstract", ""), ("2", "sec:1 ¶1", "x" * 85 + "y"), ("9", "abstract", "First")], "pmid string, anchor string, quote string")
-    got = {(r.pmid, r.quote): (r.anchor_exists, r.in_anchor, r.in_document, r.start, r.stop) for r in anchors.verify_quotes(q, anchors.units(d), d).collect()}
+    got = {(r.pmid, r.quote): (r.anchor_exists, r.in_anchor, r.in_document, r.start, r.stop) for r in anchors.verify_quotes(q, d).collect()}
     assert got["1", "The patient was seen"] == (True, True, True, 0, 20)
     assert got["1", "Another one."] == (False, False, True, None, None)
     assert got["1", "no such"] == (False, False, False, None, None)
