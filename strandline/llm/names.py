@@ -33,7 +33,7 @@ NICKNAMES = {
     "abby": "abigail", "al": "albert alexander alan", "alex": "alexander alexandra", "andy": "andrew", "annie": "anne anna", "barb": "barbara", "becky": "rebecca", "bella": "isabella", "ben": "benjamin", "bernie": "bernard", "bert": "albert robert herbert", "beth": "elizabeth", "betty": "elizabeth", "bill": "william",
     "billy": "william", "bob": "robert", "bobby": "robert", "beppe": "giuseppe", "cathy": "catherine", "charlie": "charles", "chris": "christopher christina", "chuck": "charles", "cindy": "cynthia", "connie": "constance", "curt": "curtis", "dan": "daniel", "danny": "daniel", "dave": "david", "deb": "deborah", "debbie": "deborah",
     "dick": "richard", "don": "donald", "dora": "dorothea theodora", "dot": "dorothy", "dottie": "dorothy", "doug": "douglas", "ed": "edward edmund", "eddie": "edward", "ella": "eleanor", "ellie": "eleanor", "fran": "frances francisco", "frank": "francis franklin", "fred": "frederick alfred", "gene": "eugene", "gerry": "gerald",
-    "gigi": "luigi", "greg": "gregory", "gus": "august gustav", "hal": "harold henry", "hank": "henry", "harry": "harold henry", "hansi": "johannes", "ike": "isaac", "jack": "john", "jake": "jacob", "jan": "johannes janet", "jeff": "jeffrey", "jen": "jennifer", "jenny": "jennifer", "jerry": "gerald jerome", "jim": "james", "jimmy": "james",
+    "gigi": "luigi", "greg": "gregory", "gus": "august gustav", "hal": "harold henry", "hank": "henry", "harry": "harold henry", "hans": "johannes", "hansi": "johannes", "ike": "isaac", "jack": "john", "jake": "jacob", "jan": "johannes janet", "jeff": "jeffrey", "jen": "jennifer", "jenny": "jennifer", "jerry": "gerald jerome", "jim": "james", "jimmy": "james",
     "joe": "joseph", "joey": "joseph", "johnny": "john", "jon": "jonathan", "josh": "joshua", "judy": "judith", "kate": "katherine", "kathy": "katherine", "katie": "katherine", "ken": "kenneth", "kim": "kimberly", "larry": "lawrence", "lena": "helena magdalena", "leo": "leonard leopold", "lisa": "elizabeth", "liz": "elizabeth", "lou": "louis louise",
     "maggie": "margaret", "mandy": "amanda", "marge": "margaret", "matt": "matthew", "meg": "margaret", "mick": "michael", "mike": "michael", "mitch": "mitchell", "molly": "mary", "nan": "anne nancy", "nancy": "anne", "nate": "nathan", "ned": "edward", "nell": "eleanor", "nick": "nicholas", "nicky": "nicole nicholas", "nina": "antonina",
     "paco": "francisco", "pancho": "francisco", "pat": "patrick patricia", "patty": "patricia", "peggy": "margaret", "pepe": "jose", "pete": "peter", "phil": "philip", "polly": "mary", "ray": "raymond", "rich": "richard", "rick": "richard", "rob": "robert", "ron": "ronald", "sally": "sarah", "sam": "samuel samantha", "sandy": "alexander sandra",
