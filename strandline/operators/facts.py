@@ -40,6 +40,13 @@ def _packed(records: DataFrame, group: str, facts: list[Column]) -> DataFrame:
     return x.select("record_id", "pmid", F.lit(group).alias("grp"), F.col("i").cast("bigint").alias("i"), "f")
 
 
+def _enzyme(x: Column) -> Column:
+    number = F.when(x["value"].isNotNull(), F.trim(F.concat_ws(" ", x["value"].cast("string"), truthy(x["unit"]))))
+    percent = F.when(x["percent_of_control"].isNotNull(), F.concat(x["percent_of_control"].cast("string"), F.lit("% of control")))
+    detail = _text(number, percent, F.concat(F.lit("tissue "), truthy(x["tissue"])), x["interpretation"], x["reference_text"])
+    return _fact(x["enzyme_text"], detail, _text(x["gene_symbol"], x["ec_number"], sep=" "), x["evidence"])
+
+
 def facts(records: DataFrame) -> DataFrame:
     """One row per fact: `(fact_id, record_id, pmid, grp, i, item, detail, grounded, quote, anchor, verification)`."""
     s, fam = F.col("record.subject"), F.col("record.family")
@@ -82,12 +89,28 @@ def facts(records: DataFrame) -> DataFrame:
         _list(records, "genetic_finding", "genetic_findings", variant), _list(records, "diagnosis", "diagnoses", diagnosis), _list(records, "treatment", "treatments", treatment),
         _packed(records, "outcome", [F.when(truthy(o["text"]).isNotNull(), _fact(F.lit("outcome"), o["text"], F.lit(""), o["evidence"]))]),
     ]
+    if "enzyme_activities" in records.schema["record"].dataType.names:
+        parts.append(_list(records, "enzyme_activity", "enzyme_activities", _enzyme))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select(F.concat("record_id", F.lit("#"), "grp", F.lit(":"), "i").alias("fact_id"), "record_id", "pmid", "grp", "i", *[F.col(f"f.{c}").alias(c) for c in _FACT])
 
 
+MARKS = {"in anchor": "✓", "in document": "~", "NOT FOUND": "✗"}
+
+
+def case_sheets(records: DataFrame) -> DataFrame:
+    """(record_id, sheet): a readable sheet of every record, its facts by group with a mark for where each quote was found."""
+    order = F.array_position(F.array(*map(F.lit, GROUPS)), F.col("grp"))
+    mark = F.coalesce(*[F.when(F.col("verification") == k, F.lit(v)) for k, v in MARKS.items()], F.lit("·"))
+    line = F.concat(F.lit("- "), mark, F.lit(" "), "item", F.when(F.col("detail") != "", F.concat(F.lit(" — "), "detail")).otherwise(F.lit("")), F.when(F.col("anchor") != "", F.concat(F.lit(" ["), "anchor", F.lit("]"))).otherwise(F.lit("")))
+    f = facts(records).select("record_id", "grp", order.alias("o"), "i", line.alias("line"))
+    groups = f.groupBy("record_id", "grp", "o").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "line"))), lambda x: x["line"]), "\n").alias("body"))
+    parts = F.array_sort(F.collect_list(F.struct("o", F.concat(F.lit("## "), "grp", F.lit("\n"), "body").alias("t"))))
+    return groups.groupBy("record_id").agg(F.concat(F.lit("# "), F.first("record_id"), F.lit("\n\n"), F.array_join(F.transform(parts, lambda x: x["t"]), "\n\n")).alias("sheet"))
+
+
 def final_diagnosis(diagnoses: Column) -> Column:
     """The first diagnosis with status FINAL, or NULL."""
     return F.try_element_at(F.filter(diagnoses, lambda x: F.coalesce(x["status"] == "FINAL", F.lit(False))), F.lit(1))

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+MAX_ANCHORS = 100_000
 
 
 def dense_axis(counts: DataFrame, key: str, value: str, low: int, high: int) -> DataFrame:
@@ -31,14 +37,17 @@ def licence_group(licence: Column) -> Column:
 def interpolate(keys: DataFrame, anchors: DataFrame, key: str = "k", value: str = "v") -> DataFrame:
     """Linear interpolation of `value` between the neighbouring anchors of each key; beyond the ends the nearest anchor.
 
-    The anchors form intervals that are joined by range; their table is small and checked.
+    The anchors are a small checked table; every batch of keys is searched in it at once (no range join). Without anchors
+    the value is NULL.
     """
-    from pyspark.sql import Window
-
-    if (n := anchors.count()) > 100_000:
-        raise ValueError(f"{n} anchors; thin them out before interpolating")
-    w = Window.orderBy("_k")
-    a = anchors.select(F.col(key).alias("_k"), F.col(value).alias("_v")).withColumns({"_k2": F.lead("_k").over(w), "_v2": F.lead("_v").over(w), "_first": F.row_number().over(w) == 1})
-    j = keys.join(F.broadcast(a), ((F.col(key) >= F.col("_k")) & (F.col("_k2").isNull() | (F.col(key) < F.col("_k2")))) | (F.col("_first") & (F.col(key) < F.col("_k"))), "left")
-    inside = F.col("_v") + (F.col(key) - F.col("_k")) * (F.col("_v2") - F.col("_v")) / (F.col("_k2") - F.col("_k"))
-    return j.select(*keys.columns, F.when(F.col("_k2").isNull() | (F.col(key) < F.col("_k")), F.col("_v")).otherwise(inside).alias(value))
+    if (n := anchors.limit(MAX_ANCHORS + 1).count()) > MAX_ANCHORS:
+        raise ValueError(f"more than {MAX_ANCHORS} anchors; thin them out before interpolating")
+    points = sorted((float(r[0]), float(r[1])) for r in anchors.where(F.col(key).isNotNull() & F.col(value).isNotNull()).select(key, value).distinct().collect())
+    xs, ys = [p[0] for p in points], [p[1] for p in points]
+    schema = T.StructType([*keys.schema.fields, T.StructField(value, T.DoubleType())])
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pdf.assign(**{value: np.interp(pdf[key].astype(float), xs, ys) if n else None})
+
+    return keys.where(F.col(key).isNotNull()).mapInPandas(run, schema)

@@ -46,3 +46,12 @@ def agreement(pairs: DataFrame) -> DataFrame:
     po = F.col("same") / F.col("n")
     pe = F.coalesce("chance", F.lit(0)) / (F.col("n") * F.col("n"))
     return total.join(chance).select("n", F.round(po, 3).alias("exact"), F.round(F.try_divide(po - pe, 1 - pe), 3).alias("kappa"))
+
+
+def metrics_markdown(rows: list) -> str:
+    """The collected metrics (a row per group) as a table."""
+    if not rows:
+        return ""
+    names = list(rows[0].asDict())
+    lines = ["| " + " | ".join(names) + " |", "|" + "---|" * len(names)]
+    return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in sorted(rows, key=lambda r: str(r[0]))])

@@ -111,6 +111,13 @@ def draw_in_turn(documents: DataFrame, set_names: list[str], exclude: DataFrame
     return out
 
 
+def write_sample(sample: DataFrame, documents: DataFrame, path: str) -> None:
+    """The drawn documents as tab-separated text with their other sets joined by `|`."""
+    sets = documents.groupBy("pmid").agg(F.array_sort(F.collect_set("set_name")).alias("_sets"))
+    x = sample.join(sets, "pmid", "left").withColumn("other_sets", F.array_join(F.array_remove("_sets", F.col("set_name")), "|")).drop("_sets")
+    x.select(*[F.col(c).cast("string").alias(c) for c in x.columns]).write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
+
+
 def assign(records: DataFrame, reviewers: list[str], batch_size: int, double_fraction: float, seed: int = 1) -> DataFrame:
     """(record_id, reviewer, batch, role): records in hash order are dealt round robin; a share of every batch goes to the
     next reviewer as well."""

@@ -91,6 +91,10 @@ def fact_counts(spark: SparkSession, d: str) -> DataFrame:
     return facts.facts(_recs(spark, d)).groupBy("grp", "verification").agg(F.count("*").alias("n"))
 
 
+def case_sheets(spark: SparkSession, d: str) -> DataFrame:
+    return facts.case_sheets(_recs(spark, d))
+
+
 def final_diagnosis(spark: SparkSession, d: str) -> DataFrame:
     x = _recs(spark, d).withColumn("f", facts.final_diagnosis(F.col("record.diagnoses")))
     return x.select("record_id", F.col("f.disease_text").alias("disease_text"), F.col("f.confidence_tier").alias("confidence_tier"))
@@ -204,7 +208,7 @@ def json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    entity_links, variant_keys, birth_years, age_days, doc_kinds, stratified_sample, sample_summary, assign_reviewers, validate_rules, record_confidence, facts_flatten, facts_measured, fact_counts, final_diagnosis,
+    entity_links, variant_keys, birth_years, age_days, doc_kinds, stratified_sample, sample_summary, assign_reviewers, validate_rules, record_confidence, facts_flatten, facts_measured, fact_counts, case_sheets, final_diagnosis,
     *[_export(n) for n in ("individuals", "phenotypes", "measurements", "genetic_findings", "diagnoses", "treatments")], export_documents, phenopacket_digest, phenopacket_issues, phenopacket_texts,
     review_metrics, kappa, overview_percentiles, dense_year_axis, band_crosstab, patients_per_article, year_interpolation, topk_quality, json_roundtrip,
 )}

@@ -251,3 +251,17 @@ def test_phenopacket_leaves_empty_keys_out(spark, sf):
     r = spark.read.parquet(f"{sf}/individuals.parquet")
     for row in r.select(phenopacket.phenopacket_json(F.col("record"), F.col("record_id"), F.col("pmid")).alias("p")).collect():
         assert all(v not in ([], None) for v in json.loads(row.p).values())
+
+
+def test_case_sheets_samples_and_tables(spark, sf, tmp_path):
+    from strandline.operators import facts
+
+    r = spark.read.parquet(f"{sf}/individuals.parquet").dropDuplicates(["record_id"])
+    sheet = facts.case_sheets(r).first().sheet
+    assert sheet.startswith("# PMID_") and "\n## " in sheet
+    s = spark.createDataFrame([("s", "1")], "set_name string, pmid string")
+    sampling.write_sample(s, spark.createDataFrame([("s", "1"), ("t", "1"), ("u", "1")], "set_name string, pmid string"), str(tmp_path / "sample"))
+    assert spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "sample")).first().other_sets == "t|u"
+    text = review.metrics_markdown(review.metrics(spark.createDataFrame([("g", "Correct")], "grp string, verdict string"), spark.createDataFrame([], "grp string")).collect())
+    assert text.count("\n") == 3 and "| g | 1 | 1 |" in text
+    assert facts.export_all(r, spark.read.parquet(f"{sf}/documents.parquet"), str(tmp_path / "export")) and spark.read.parquet(str(tmp_path / "export/treatments.parquet")).columns[0] == "record_id"
