@@ -8,6 +8,7 @@ from ..operators import anchors, extraction
 from ..session import scratch, table as t
 from ..sources import xml
 from ..streaming import incremental
+from .documents import _LINES
 
 
 def _esc(c):  # noqa: ANN001
@@ -76,7 +77,10 @@ def _first_cell(text: str, anchor: str) -> str:
 
 QUERIES = {f.__name__: f for f in (citation_scan, article_scan, stream_upsert, window_counts, stub_extraction)}
 _W = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
+_ALL = f"WITH docs AS (SELECT doc_id, text FROM documents), {_LINES}"
 SQL = {
+    "article_scan": f"{_ALL}, r AS (SELECT k, count(DISTINCT n) AS nt, count(*) AS nr FROM rows_ GROUP BY k) SELECT p.k AS doc_id, count(DISTINCT n) AS n_sections, count(*) FILTER (trim(unit) <> '') AS n_paragraphs, coalesce(any_value(nt), 0) AS n_tables, coalesce(any_value(nr), 0) AS n_rows FROM pars p LEFT JOIN r ON r.k = p.k GROUP BY p.k",
+    "stub_extraction": f"{_ALL} SELECT k AS doc_id, 'measured' AS claim_type, arg_min(cells[1], (n, m)) AS quote, 'tab:' || arg_min(n, (n, m)) || ' r' || arg_min(m, (n, m)) AS anchor FROM rows_ WHERE m > 1 GROUP BY k",
     "citation_scan": f"SELECT doc_id, pmid, lower(doi) AS doi, {_W.format('journal')} AS journal, pub_year, coalesce(len(authors), 0) AS n_authors, coalesce(array_to_string(pub_types, '|'), '') AS pub_types, coalesce(array_to_string(keywords, '|'), '') AS keywords, NULL::VARCHAR AS error FROM documents WHERE pmid IS NOT NULL",
     "stream_upsert": "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) FILTER (event_type IS NOT NULL) AS event_type, arg_max(value, (ts, event_id)) FILTER (value IS NOT NULL) AS value FROM events WHERE user_id IS NOT NULL GROUP BY user_id",
     "window_counts": "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1, 2",

@@ -333,6 +333,10 @@ SQL = {
     "validate_rules": f"WITH one AS {_ONE} {_ISSUES}",
     "record_confidence": f"WITH one AS {_ONE}, iss AS ({_ISSUES}), c AS (SELECT record_id, count(*) FILTER (severity = 'warn') AS w, count(*) FILTER (severity = 'error') AS e FROM iss GROUP BY record_id) SELECT record_id, coalesce(e, 0) = 0 AS valid, CASE WHEN ({_NALL}) > 0 THEN round(greatest(0::DOUBLE, CAST({_NGR} AS DOUBLE) / ({_NALL}) - 0.03::DOUBLE * coalesce(w, 0)), 3) ELSE 0 END::DOUBLE AS confidence FROM one LEFT JOIN c USING (record_id)".replace("CAST(len", "CAST((len").replace(" AS DOUBLE) / (", ") AS DOUBLE) / ("),
     "facts_flatten": f"WITH one AS {_ONE} SELECT * FROM ({_FACTS})",
+    "fact_counts": f"""WITH one AS {_ONE}, f AS (SELECT grp, verification FROM ({_FACTS}) UNION ALL SELECT 'measurement', {_STATUS('x.evidence')} FROM {_x('measurements')}
+        UNION ALL SELECT 'subject', '' FROM (SELECT unnest([CASE WHEN {_S}.sex NOT IN ('UNKNOWN_SEX', 'UNKNOWN') THEN {_S}.sex END, CASE WHEN {_S}.vital_status NOT IN ('UNKNOWN_SEX', 'UNKNOWN') THEN {_S}.vital_status END, {_S}.ancestry_as_stated, {_S}.country_of_care, CAST({_S}.gestational_age_weeks AS VARCHAR), CAST({_S}.birth_weight_g AS VARCHAR)]) AS v FROM one) WHERE coalesce(v, '') <> ''
+        UNION ALL SELECT 'subject', {_STATUS('a.evidence')} FROM (SELECT unnest([{_S}.age_at_onset, {_S}.age_at_presentation, {_S}.age_at_last_followup, {_S}.age_at_death]) AS a FROM one) WHERE coalesce(a.iso8601, '') <> '' OR coalesce(a.text, '') <> '')
+        SELECT grp, verification, count(*) AS n FROM f GROUP BY grp, verification""",
     "final_diagnosis": f"WITH one AS {_ONE} SELECT record_id, {_FINAL}.disease_text AS disease_text, {_FINAL}.confidence_tier AS confidence_tier FROM one",
     "export_individuals": f"WITH one AS {_ONE} SELECT record_id, pmid, local_id, valid, confidence, {_S}.sex AS sex, {_S}.age_at_onset.iso8601 AS age_at_onset, {_S}.age_at_presentation.iso8601 AS age_at_presentation, {_S}.age_at_last_followup.iso8601 AS age_at_last_followup, {_S}.vital_status AS vital_status, record.family.consanguinity AS consanguinity, {_S}.ancestry_as_stated AS ancestry, {_S}.country_of_care AS country, {_FINAL}.disease_text AS final_diagnosis, {_FINAL}.confidence_tier AS confidence_tier, coalesce(len(record.phenotypes), 0) AS n_phenotypes, coalesce(len(record.measurements), 0) AS n_measurements, coalesce(len(record.genetic_findings), 0) AS n_variants, record.clinical_summary AS clinical_summary, model, prompt_version FROM one",
     "export_phenotypes": f"WITH one AS {_ONE} SELECT record_id, pmid, x.text AS text, x.hpo_id AS hpo_id, x.hpo_label AS hpo_label, x.excluded AS excluded, x.onset.iso8601 AS onset, x.modifier AS modifier, x.\"grounding\".status AS \"grounding\", {_QUOTES} FROM {_x('phenotypes')}",
