@@ -45,9 +45,23 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, for a table that is written once and read several times."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process has written; for when no result that reads them is needed any more."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

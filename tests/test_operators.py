@@ -265,3 +265,14 @@ def test_case_sheets_samples_and_tables(spark, sf, tmp_path):
     text = review.metrics_markdown(review.metrics(spark.createDataFrame([("g", "Correct")], "grp string, verdict string"), spark.createDataFrame([], "grp string")).collect())
     assert text.count("\n") == 3 and "| g | 1 | 1 |" in text
     assert facts.export_all(r, spark.read.parquet(f"{sf}/documents.parquet"), str(tmp_path / "export")) and spark.read.parquet(str(tmp_path / "export/treatments.parquet")).columns[0] == "record_id"
+
+
+def test_intermediate_tables_live_in_the_shared_folder(spark, tmp_path):
+    from strandline import session
+
+    df = spark.range(5).toDF("x")
+    out = session.materialise(df, "t")
+    path = session._MADE[-1]
+    assert path.startswith(session.shared_dir(spark)) and out.count() == 5
+    session._MADE[:] = [path]
+    assert session.drop_scratch(spark) == 1 and session._MADE == []
