@@ -25,10 +25,19 @@ def p3_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_genetic_findings(spark: SparkSession, d: str) -> DataFrame:
-    return nested.flat_table(t(spark, d, "individuals"), "record.genetic_findings").select("record_id", F.col("pos").cast("bigint").alias("idx"), "gene_symbol", "variant_hgvs_c", "variant_hgvs_p", "zygosity", "novel")
+    return nested.flat_table(t(spark, d, "individuals"), "record.genetic_findings").select("record_id", F.col("pos").cast("bigint").alias("idx"), "gene_symbol", "variant_hgvs_c", "variant_hgvs_p", "zygosity", "novel").distinct()
 
 
-QUERIES: dict = {"p3_found": p3_found, "p3_links": p3_links, "p3_genetic_findings": p3_genetic_findings, "p6_found": p6_found, "p6_model_report": p6_model_report}
+def p3_tables(spark: SparkSession, d: str) -> DataFrame:
+    return nested.tables(t(spark, d, "individuals"))
+
+
+def _table(tag: str):
+    return lambda spark, d: nested.flat_table(t(spark, d, "individuals"), tag)
+
+
+QUERIES: dict = {f"p3_{tag.replace('.', '_')}": _table(tag) for tag in nested.TABLES}
+QUERIES |= {"p3_found": p3_found, "p3_links": p3_links, "p3_tables": p3_tables, "p3_genetic_findings": p3_genetic_findings, "p6_found": p6_found, "p6_model_report": p6_model_report}
 SQL: dict = {
     "p3_genetic_findings": """
         WITH one AS (SELECT DISTINCT record_id, record.genetic_findings AS g FROM individuals WHERE record.genetic_findings IS NOT NULL),

@@ -1,6 +1,7 @@
 """Operators on hand-written rows: quirks, nulls, empty tables, ties, repeated rows, clashing names."""
 
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,6 +149,60 @@ def test_nested_emission_against_a_plain_walk(spark):
     assert nested.links(df).where("n_orphans > 0").count() == 0
 
 
+def leaves(root, value):
+    """(dotted path, text) of every scalar, by a plain recursive walk; elements of arrays as the field `value`."""
+    if root.startswith("phenopacket") and isinstance(value, str) and value[:1] in ("{", "["):
+        value = valid(value) or value
+    if isinstance(value, dict):
+        for k, x in value.items():
+            yield from leaves(f"{root}.{k}", x)
+    elif isinstance(value, list):
+        for x in value:
+            if x is not None:
+                yield from leaves(root if isinstance(x, (dict, list)) else f"{root}.value", x)
+    else:
+        yield root, value if value is None or isinstance(value, str) else json.dumps(value)
+
+
+def valid(text):
+    try:
+        x = json.loads(text)
+        return valid(x) if isinstance(x, str) else x
+    except (TypeError, ValueError):
+        return []
+
+
+def test_flat_tables_hold_every_scalar(spark, sf):
+    df = spark.read.parquet(f"{sf}/individuals.parquet").where("record_id is not null")
+    want = Counter()
+    for rid, record, packet in set(map(tuple, df.select("record_id", F.to_json("record"), "phenopacket").collect())):
+        want.update((rid, *x) for root, text in (("record", record), ("phenopacket", packet)) for x in leaves(root, valid(text)))
+    folder = nested.write_tables(df)
+    rows = spark.read.schema(nested.ROW).parquet(folder).collect()
+    got = Counter((r.record_id, f"{r.tag}.{k}", v) for r in rows for k, v in json.loads(r.payload).items())
+    assert sum(want.values()) > 5000 and got == want
+    assert {r.tag for r in rows} <= set(nested.TABLES)
+    keys = {(r.record_id, r.version, r.tag, r.pos) for r in rows}
+    assert len(keys) == len(rows) and all((r.record_id, r.version, r.parent_path, r.parent_pos) in keys for r in rows if r.parent_path)
+
+
+def test_single_objects_become_columns_of_the_nearest_row(spark):
+    packets = ['{"id": "p", "subject": {"id": "s", "a.b": {"c": 1}}, "measurements": [{"value": {"quantity": {"value": "7.5", "unit": {"id": "u"}}}}, {"value": {"quantity": {"value": "high"}}}]}', '{"measurements": {"assay": {"id": "q"}}, "note": "{\\"x\\": 1}"}', '{"measurements": null, "new": [1, "two", null]}', '[{"id": "l"}]']
+    rows = [("r0", ([(("said", "sec:1"), "t")], ["n", None, "m"], ("died",)), packets[0])] + [(f"r{i}", None, p) for i, p in enumerate(packets) if i] + [("r0", ([(("said", "sec:1"), "t")], ["n", None, "m"], ("died",)), packets[0]), ("r0", ([], None, ("alive",)), None)]
+    df = spark.createDataFrame(rows, "record_id string, record struct<phenotypes:array<struct<evidence:struct<quote:string,anchor:string>,text:string>>,extractor_notes:array<string>,outcome:struct<text:string>>, phenopacket string")
+    table = lambda tag: nested.flat_table(df, tag).orderBy("record_id", "pos").collect()
+    assert [(r.pos, r.parent_path, r.parent_pos, r.text, r.evidence_quote, r.evidence_anchor) for r in table("record.phenotypes")] == [("0", "record", "", "t", "said", "sec:1")]
+    assert sorted(r.outcome_text for r in table("record")) == ["alive", "died"]
+    assert [(r.pos, r.value) for r in table("record.extractor_notes")] == [("0", "n"), ("2", "m")]
+    got = [(r.record_id, r.pos, r.assay_id, r.value_quantity_value, r.value_quantity_unit_id, r.other) for r in table("phenopacket.measurements")]
+    assert got == [("r0", "0", None, 7.5, "u", None), ("r0", "1", None, None, None, '{"value.quantity.value":"high"}'), ("r1", "0", "q", None, None, None)]
+    assert [(r.record_id, r.pos, r.id, r.subject_id, r.other) for r in table("phenopacket")] == [("r0", "", "p", "s", '{"subject.a.b.c":"1"}'), ("r1", "", None, None, '{"note.x":"1"}'), ("r2", "", None, None, '{"measurements":null}'), ("r3", "0", "l", None, None)]
+    assert [(r.pos, r.other) for r in table("phenopacket.new")] == [("0", '{"value":"1"}'), ("1", '{"value":"two"}')]
+    assert nested.read_table(spark, nested.write_tables(df.where("false")), "record").count() == 0
+    links = {(r.path, r.parent_path): (r.n_rows, r.n_orphans) for r in nested.links(df).collect()}
+    assert links["record", None] == (2, 0) and links["phenopacket", None] == (4, 0) and links["record.extractor_notes", "record"] == (2, 0)
+
+
 M = "fact_id string, pmid string, analyte_text string, specimen string, value double, unit string, unit_ucum string, ref_low double, ref_high double, interpretation string, panel string, method string"
 LEX = "label string, synonyms string, kind string, molar_mass double, unit_common string"
 
