@@ -187,12 +187,16 @@ def expand(text: str, words: dict[str, str]) -> str:
     return text
 
 
+def end_word(entry: str) -> str:
+    """The word that ends an entry."""
+    w = (re.findall(r"[a-z]+", entry.lower()) or [""])[-1]
+    return "carnitine" if w.endswith("carnitine") else w
+
+
 def class_words(entries: list[str]) -> dict[str, str]:
     """Beginnings (2 letters and more) of words that end several entries of the list, where they are unambiguous."""
     ends: dict[str, int] = {}
-    for e in entries:
-        w = (re.findall(r"[a-z]+", e.lower()) or [""])[-1]
-        w = "carnitine" if w.endswith("carnitine") else w
+    for w in map(end_word, entries):
         if len(w) >= 4:
             ends[w] = ends.get(w, 0) + 1
     begun: dict[str, set[str]] = {}

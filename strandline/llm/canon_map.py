@@ -4,7 +4,8 @@ The reference list becomes a BK-tree under Levenshtein distance. Every typed val
 equal key wins outright, otherwise the tree returns *every* entry within twice the threshold (a swap of neighbours costs 2
 there), the triangle inequality cuts branches, and the hits are ranked by unrestricted Damerau-Levenshtein distance. Hits
 whose numbers or one-letter prefix differ never count. The list is broadcast while its counted size stays below
-`BROADCAST_ENTRIES`; beyond that it is cut into shards, every distinct value meets every shard, and shard winners merge.
+`BROADCAST_ENTRIES`; beyond that it is cut into shards by comparison key, every distinct value meets every shard, and shard
+winners merge by the order of readings first, then by distance. Class words are always those of the whole list.
 
 Cases: null texts give no row; empty texts, texts of specimen or unit words only, ratios and sums, and values whose nearest
 entries tie between different targets map to `(none)`; repeated rows give one row; texts of any length are read whole
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import labtext
 from ..functions.fuzzy import damerau, levenshtein
+from ..session import materialise
 
 NONE = "(none)"
 THRESHOLD = 1
@@ -66,17 +68,23 @@ class BKTree:
         return sorted(found)
 
 
+def entry_core(spelling: str, kind: str) -> str:
+    return labtext.parse_disease(spelling)[0] if kind == "disease" else spelling
+
+
 class Mapper:
     """One shard of a reference list, ready to answer. `entries`: (spelling, target) pairs."""
 
-    def __init__(self, entries: list[tuple[str, str]], kind: str, threshold: int = THRESHOLD):
+    def __init__(self, entries: list[tuple[str, str]], kind: str, threshold: int = THRESHOLD, words: dict[str, str] | None = None):
         self.kind, self.threshold = kind, threshold
-        self.words = labtext.class_words([s for s, _ in entries]) if kind == "analyte" else {}
+        if words is None:  # else those of the whole list
+            words = labtext.class_words([s for s, _ in entries]) if kind == "analyte" else {}
+        self.words = words
         self.targets: dict[str, set[str]] = {}
         self.guards: dict[str, set[tuple]] = {}
         self.listed = {t for _, t in entries}
         for spelling, target in entries:
-            core = labtext.parse_disease(spelling)[0] if kind == "disease" else spelling
+            core = entry_core(spelling, kind)
             k = labtext.key(core)
             if k:
                 self.targets.setdefault(k, set()).add(target)
@@ -96,11 +104,15 @@ class Mapper:
 
     def best(self, text: str) -> list[tuple[int, str]]:
         """All targets at the smallest distance within the threshold, as (distance, target)."""
+        return [(d, t) for _, d, t in self.ranked(text)]
+
+    def ranked(self, text: str) -> list[tuple[int, int, str]]:
+        """`best` with the rank of the reading that hit, as (rank, distance, target)."""
         cores, given = self.cores(text)
-        for core in cores:
+        for rank, core in enumerate(cores):
             k = labtext.key(core)
             if k in self.targets:
-                return [(0, t) for t in sorted(self.targets[k])]
+                return [(rank, 0, t) for t in sorted(self.targets[k])]
             if not k or labtext.is_code(k) or len(k) > self.longest + self.threshold:
                 continue
             g, hits = labtext.guard(core), []
@@ -109,8 +121,8 @@ class Mapper:
                     hits += [(d, t) for t in self.targets[e]]
             if hits:
                 least = min(hits)[0]
-                return sorted({(d, t) for d, t in hits if d == least})
-        return [(0, given)] if given and given in self.listed else []
+                return sorted({(rank, d, t) for d, t in hits if d == least})
+        return [(len(cores), 0, given)] if given and given in self.listed else []
 
 
 def _batches(entries: list[tuple[str, str]], kind: str, threshold: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -130,13 +142,30 @@ def _batches(entries: list[tuple[str, str]], kind: str, threshold: int) -> Calla
     return run
 
 
-def _shard_batches(kind: str, threshold: int):
+def _entry_keys(kind: str):
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            keys = [labtext.key(entry_core(s, kind)) for s in pdf["spelling"]]
+            yield pdf.assign(key=keys, end_word=[labtext.end_word(s) for s in pdf["spelling"]])
+
+    return run
+
+
+def _class_words(keyed: DataFrame) -> dict[str, str]:
+    """`labtext.class_words` of a list that is too long for one task; only the answer reaches the driver."""
+    ends = keyed.where("length(end_word) >= 4").groupBy("end_word").agg(F.count("*").alias("n"))
+    begun = ends.where("n >= 2").select(F.col("end_word").alias("word"), F.explode(F.expr("transform(sequence(2, length(end_word) - 1), i -> left(end_word, i))")).alias("begin"))
+    begun = begun.groupBy("begin").agg(F.count("*").alias("n"), F.first("word").alias("word")).where("n = 1")
+    return {r.begin: r.word for r in begun.join(ends, F.col("begin") == F.col("end_word"), "left_anti").select("begin", "word").collect()}
+
+
+def _shard_batches(kind: str, threshold: int, words: dict[str, str]):
     """applyInPandas over one shard's entries and one block of distinct values: all hits of the shard."""
 
     def run(_key, values: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        mapper = Mapper(list(zip(entries["spelling"], entries["target"], strict=True)), kind, threshold)
-        out = [(t, d, e) for t in values["text"] for d, e in mapper.best(t)]
-        return pd.DataFrame(out, columns=["text", "distance", "entry"])
+        mapper = Mapper(list(zip(entries["spelling"], entries["target"], strict=True)), kind, threshold, words)
+        out = [(t, *hit) for t in values["text"] for hit in mapper.ranked(t)]
+        return pd.DataFrame(out, columns=["text", "reading", "distance", "entry"])
 
     return run
 
@@ -156,10 +185,13 @@ def map_to_list(values: DataFrame, entries: DataFrame, kind: str = "analyte", th
     blocks = 64
     distinct = values.select("text").distinct().withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int"))
     left = distinct.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    right = entries.withColumn("shard", F.pmod(F.xxhash64("spelling"), F.lit(shards)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    hits = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(_shard_batches(kind, threshold), "text string, distance int, entry string")
-    best = hits.groupBy("text").agg(F.min("distance").alias("distance"), F.collect_set(F.struct("distance", "entry")).alias("hits"))
-    best = best.withColumn("hits", F.expr("filter(hits, h -> h.distance = distance)")).where("size(hits) = 1").select("text", F.col("hits")[0]["entry"].alias("entry"), "distance")
+    keyed = materialise(entries.mapInPandas(_entry_keys(kind), "spelling string, target string, key string, end_word string"), "entries")
+    words = _class_words(keyed) if kind == "analyte" else {}
+    # By key: spellings of one key share their targets and guards.
+    right = keyed.select("spelling", "target", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    hits = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(_shard_batches(kind, threshold, words), "text string, reading int, distance int, entry string")
+    best = hits.groupBy("text").agg(F.min(F.struct("reading", "distance")).alias("least"), F.collect_set(F.struct("reading", "distance", "entry")).alias("hits"))
+    best = best.withColumn("hits", F.expr("filter(hits, h -> h.reading = least.reading and h.distance = least.distance)")).where("size(hits) = 1").select("text", F.col("hits")[0]["entry"].alias("entry"), F.col("least.distance").alias("distance"))
     return values.join(best, "text", "left").select("row_key", "text", F.coalesce("entry", F.lit(NONE)).alias("entry"), F.coalesce("distance", F.lit(-1)).alias("distance"))
 
 

@@ -39,6 +39,17 @@ def test_mapping_broadcast_and_sharded(spark, broadcast):
     assert {r.entry for r in canon_map.map_to_list(v, e.where("false")).collect()} == {none}
 
 
+def test_shards_give_the_answers_of_the_whole_list(spark):
+    kinds = ["dehydrogenase", "transferase", "reductase", "acylcarnitine"]
+    entries = [*ENTRIES, *((f"{a}{b}{c} {k}", f"{a}{b}{c}-{k}") for i, k in enumerate(kinds) for a in ("gro", "fel") for b in ("mu", "ta") for c in ("nol", "rik")[: 2 - i % 2])]
+    entries += [("Lbaronine", "E"), ("L-baronine", "F"), ("quorzine", "G"), ("trellate", "H")]
+    texts = ["X-BP", "gromunol dehydrog.", "feltanol trans", "gromunol reduct", "gromunnol red", "L-baronin", "quorzin (trellate)", "quorzine [TSA]", "quorzzine (fooline)", "fooline (quorzine)", "TSA (quorzine)", "nothing at all"]
+    v, e = spark.createDataFrame(list(enumerate(texts)), "row_key int, text string"), spark.createDataFrame(entries, "spelling string, target string")
+    whole, *cut = ({texts[int(r.row_key)]: (r.entry, r.distance) for r in canon_map.map_to_list(v, e, broadcast_entries=n, shard_entries=k).collect()} for n, k in ((100, 2), (1, 2), (1, 7)))
+    assert cut == [whole, whole]
+    assert whole["X-BP"] == ("D", 0) and whole["quorzin (trellate)"] == ("G", 1) and whole["feltanol trans"] == ("feltanol-transferase", 0)
+
+
 def test_diseases_by_type_number_and_omim():
     m = canon_map.Mapper([("fooosis type II", "OMIM:1"), ("Foo-Bar syndrome", "OMIM:2"), ("baric acidemia", "OMIM:912345")], "disease")
     best = lambda t: [x for _, x in m.best(t)]
