@@ -4,8 +4,8 @@ Distinct strings are counted over all documents and read into (family name or ci
 further initials). Every reading that occurs is a candidate canonical form with the frequency of its spellings as prior;
 plain indexing style ("Surname AB") counts in full, other styles less. A variant meets candidates through single-deletion
 keys of the family name (or city) joined with the first initial (or kind), so one typo of any sort is found exactly, without
-comparing all pairs. log prior + log likelihood of the typo, of dropped initials and of the reading gives the posterior;
-each variant goes to its maximum, and candidates that themselves are variants pass their members on.
+comparing all pairs; in short names a typo counts as less likely. log prior + log likelihood of the typo, of dropped initials and of the reading gives the posterior;
+each variant goes to its maximum, and candidates that themselves are variants pass their members on, along chains of any length.
 
 Cases: null arrays, null and empty names give nothing; groups of people ("et al.", study groups) are no persons; names without
 a readable family name or kind of institution link to nothing but exact repeats; ties go to the smaller candidate; repeated
@@ -26,7 +26,8 @@ from ..session import materialise
 TYPO, DROPPED, ADDED, OTHER_STYLE, OWN_LETTER = 0.8, 0.3, 0.1, 0.5, 0.2
 # Where neither comma nor initials tell the order of the parts; such a reading lends its form next to no prior.
 AMBIGUOUS = 0.05
-MIN_TYPO_LENGTH = 6
+# Below so many letters another name is as near as a typo; only a far more frequent one takes the variant.
+MIN_TYPO_LENGTH, SHORT_TYPO = 6, 0.02
 
 # Common short forms of given names and the names they stand for.
 NICKNAMES = {
@@ -177,10 +178,26 @@ _ID = ["kind", "fuzzy", "first", "rest"]
 
 
 def _keys(col: str = "fuzzy"):
-    """The text itself and, for long ones, each form with one letter deleted."""
+    """The text itself and each form with one letter deleted."""
     c = F.col(col)
     cut = F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))
-    return F.when(F.length(c) >= MIN_TYPO_LENGTH, F.array_distinct(F.concat(F.array(c), cut))).otherwise(F.array(c))
+    return F.array_distinct(F.concat(F.array(c), cut))
+
+
+def _settle(attached: DataFrame) -> DataFrame:
+    """`attached(…, to_fuzzy, to_rest)` followed to the ends of its chains by pointer doubling, written between rounds.
+
+    Every step but one to itself leads to a form of a greater prior, so there are no circles.
+    """
+    top = attached
+    while True:
+        hop = top.select("kind", F.col("fuzzy").alias("to_fuzzy"), "first", F.col("rest").alias("to_rest"), F.col("to_fuzzy").alias("n_fuzzy"), F.col("to_rest").alias("n_rest"))
+        moved = (F.col("n_fuzzy") != F.col("to_fuzzy")) | (F.col("n_rest") != F.col("to_rest"))
+        top = top.join(hop, ["kind", "first", "to_fuzzy", "to_rest"]).select(*_ID, F.col("n_fuzzy").alias("to_fuzzy"), F.col("n_rest").alias("to_rest"), moved.alias("moved"))
+        top = materialise(top, "settled")
+        if top.where("moved").isEmpty():
+            return top.drop("moved")
+        top = top.drop("moved")
 
 
 def spellings(documents: DataFrame) -> DataFrame:
@@ -206,7 +223,7 @@ def attribute(names: DataFrame) -> DataFrame:
     met = keyed.drop("spelling", "prior").join(c, ["kind", "key", "first"]).drop("key").distinct()
     d = F.levenshtein("fuzzy", "c_fuzzy", 2)
     swap = (F.length("fuzzy") == F.length("c_fuzzy")) & (F.array_sort(F.split("fuzzy", "")) == F.array_sort(F.split("c_fuzzy", "")))
-    typo = F.when(d == 0, 0.0).when((d == 1) | ((d == 2) & swap), F.log(F.lit(TYPO)))
+    typo = F.when(d == 0, 0.0).when((d == 1) | ((d == 2) & swap), F.log(F.when(F.greatest(F.length("fuzzy"), F.length("c_fuzzy")) < MIN_TYPO_LENGTH, SHORT_TYPO).otherwise(TYPO)))
     rest = (
         F.when(F.col("rest") == F.col("c_rest"), 0.0)
         .when(F.startswith("c_rest", "rest"), F.log(F.lit(DROPPED)))
@@ -216,10 +233,8 @@ def attribute(names: DataFrame) -> DataFrame:
     # `levenshtein` with a threshold gives -1 beyond it, which is neither 0, 1 nor 2.
     best = scored.groupBy(*_ID).agg(F.max(F.struct("score", "c_prior", F.col("c_fuzzy").alias("f"), F.col("c_rest").alias("r"), "c_spelling")).alias("b"))
     best = materialise(best.select(*_ID, F.col("b.score").alias("score"), F.col("b.f").alias("to_fuzzy"), F.col("b.r").alias("to_rest")), "attached")
-    top = best.select(*_ID, "to_fuzzy", "to_rest")
-    for _ in range(3):  # candidates that are variants themselves pass their members on
-        hop = best.select("kind", F.col("fuzzy").alias("to_fuzzy"), "first", F.col("rest").alias("to_rest"), F.col("to_fuzzy").alias("n_fuzzy"), F.col("to_rest").alias("n_rest"))
-        top = top.join(hop, ["kind", "first", "to_fuzzy", "to_rest"]).select(*_ID, F.col("n_fuzzy").alias("to_fuzzy"), F.col("n_rest").alias("to_rest"))
+    # Candidates that are variants themselves pass their members on.
+    top = _settle(best.select(*_ID, "to_fuzzy", "to_rest"))
     entity = forms.select("kind", F.col("fuzzy").alias("to_fuzzy"), "first", F.col("rest").alias("to_rest"), F.col("spelling").alias("entity"))
     top = top.join(entity, ["kind", "first", "to_fuzzy", "to_rest"]).select(*_ID, "entity", F.col("to_fuzzy"), F.col("to_rest"))
     chosen = readings.join(best.select(*_ID, "score"), _ID).join(top, _ID)

@@ -91,6 +91,22 @@ def test_spellings_of_people_and_institutions(spark):
     assert names.found(d.where("false")).count() == 0
 
 
+def test_chains_of_variants_end_in_one_entity(spark):
+    base = "Mandroviteks"
+    chain = [base[:1] + "q" * i + base[1 + i :] + " KG" for i in range(8)]
+    rows = [[name] for name, n in zip(chain, (1, 2, 3, 5, 8, 12, 17, 24), strict=True) for _ in range(n)]
+    d = spark.createDataFrame([(a, None) for a in rows], "authors array<string>, affiliations array<string>")
+    assert {tuple(r) for r in names.found(d).collect()} == {("author", a, b) for a in chain for b in chain if a < b}
+    assert [(r.n_spellings, r.n_mentions) for r in names.entities(d).collect()] == [(8, 72)]
+
+
+def test_typos_in_short_names(spark):
+    rows = [["Smith JK"]] * 80 + [["Smtih JK"], ["Smit JK"]] + [["Li W"]] * 9 + [["Lu W"]] * 3
+    d = spark.createDataFrame([(a, None) for a in rows], "authors array<string>, affiliations array<string>")
+    group = {"Smith JK", "Smtih JK", "Smit JK"}
+    assert {tuple(r) for r in names.found(d).collect()} == {("author", a, b) for a in group for b in group if a < b}
+
+
 # -- problem 5 -------------------------------------------------------------------------------------------------------
 RECORD = "struct<subject:struct<sex:string,country_of_care:string,age_at_last_followup:struct<iso8601:string>>,genetic_findings:array<struct<gene_symbol:string,variant_hgvs_c:string,variant_hgvs_p:string,variant_text:string>>,diagnoses:array<struct<disease_text:string>>,phenotypes:array<struct<text:string>>>"
 
