@@ -10,7 +10,7 @@ regression turns the weighted score into a confidence: it is fitted on a bounded
 a contradiction in sex or birth year are known to be different people.
 
 `found` keeps confident pairs that pass the exact rule: a variant in common, no different stated sex, birth years (publication
-year less age at last follow-up) at most two apart, no different stated country.
+year less age at last follow-up) at most two apart. A different stated country only lowers the score. Author lists are read whole.
 
 Cases: repeats of a record count once; records without readable variant have no partner; null parts (sex, age, year, country,
 authors) neither support nor contradict; null elements of arrays are skipped; records of one pmid are never paired; several
@@ -129,7 +129,7 @@ def _encode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             age, year = age_years(r.age), r.pub_year
             birth = float(year) - age if age is not None and year is not None and year == year else None
             texts = lambda x: [t for t in x if t] if x is not None else []
-            out.append((r.record_id, r.pmid, sex if sex in ("MALE", "FEMALE") else None, birth, forms, words, field_vector([r.country] if r.country else [], 64), field_vector(texts(r.authors)[:200], 512, 1), field_vector(texts(r.diagnoses), 256, 1), field_vector(texts(r.phenotypes), 256, 1)))
+            out.append((r.record_id, r.pmid, sex if sex in ("MALE", "FEMALE") else None, birth, forms, words, field_vector([r.country] if r.country else [], 64), field_vector(texts(r.authors), 512, 1), field_vector(texts(r.diagnoses), 256, 1), field_vector(texts(r.phenotypes), 256, 1)))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in _ENCODED.split(", ")])
 
 
@@ -204,7 +204,7 @@ def match(individuals: DataFrame, documents: DataFrame) -> DataFrame:
     scored = materialise(score(close_pairs(encoded), encoded), "scored-pairs")
     n = scored.count()
     sample = scored.where(F.pmod(F.xxhash64("record_a", "record_b"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, MAX_CALIBRATION / max(n, 1))))
-    sample = sample.select("score", (~(F.col("contradicted") | F.col("elsewhere"))).cast("double").alias("same"))
+    sample = sample.select("score", (~F.col("contradicted")).cast("double").alias("same"))
     if n < 20 or sample.select("same").distinct().count() < 2:
         return scored.withColumn("confidence", F.col("score"))
     isotonic = IsotonicRegression(featuresCol="score", labelCol="same", predictionCol="confidence").fit(sample)
@@ -214,7 +214,7 @@ def match(individuals: DataFrame, documents: DataFrame) -> DataFrame:
 def found(individuals: DataFrame, documents: DataFrame) -> DataFrame:
     """(record_a, record_b) of confident pairs that pass the exact rule."""
     m = match(individuals, documents)
-    return m.where((F.col("confidence") >= CONFIDENT) & (F.col("shared") > 0) & ~F.col("contradicted") & ~F.col("elsewhere")).select("record_a", "record_b")
+    return m.where((F.col("confidence") >= CONFIDENT) & (F.col("shared") > 0) & ~F.col("contradicted")).select("record_a", "record_b")
 
 
 def confidences(individuals: DataFrame, documents: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import os
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,15 @@ def test_persons_are_paired_across_notations(spark):
     assert entity_match.found(ind.where("false"), docs).count() == 0
 
 
+def test_author_lists_are_read_whole_and_a_country_is_no_contradiction(spark):
+    row = {"record_id": "r", "pmid": "1", "sex": "MALE", "age": "P1Y", "pub_year": 2000, "country": "X", "findings": [{"g": "ABC1", "c": "c.301A>T", "p": None, "t": None}], "diagnoses": None, "phenotypes": None}
+    vector = lambda authors: next(entity_match._encode(iter([pd.DataFrame([row | {"authors": authors}])])))["authors"][0]
+    assert vector(["Hansenson B"] * 300 + ["Zyxquiv KG"]) == vector(["Hansenson B", "Zyxquiv KG"]) != vector(["Hansenson B"])
+    ind = spark.createDataFrame([person(1, "1", "MALE", "P10Y", c="c.301A>T"), person(2, "2", "MALE", "P15Y", c="c.301A>T", country="Elsewhere")], f"record_id string, pmid string, record {RECORD}")
+    docs = spark.createDataFrame([("1", 2000, ["Hansenson B"], 1.0), ("2", 2005, ["Hansenson B"], 1.0)], "pmid string, pub_year int, authors array<string>, added_at double")
+    assert {tuple(r) for r in entity_match.found(ind, docs).collect()} == {("r1", "r2")}
+
+
 def test_multi_index_hashing_is_exact(spark):
     r = random.Random(5)
     base = [r.getrandbits(128) for _ in range(12)]
