@@ -1,43 +1,52 @@
 """Problem 5: the same person described in different papers, matched without a key.
 
-Per reported variant the q-grams of its normal form (gene and codon, whatever the notation) become a fixed 128-bit vector. All
-pairs of vectors within Hamming distance `RADIUS` are found exactly by multi-index hashing: cut into four 32-bit words, two
-vectors within distance 3 agree in at least one word, so an equi-join on (word number, word, birth-year cell) meets every
-such pair; a pair is kept only at its first common word. Cells of three years, entered with their neighbours on one side,
-keep the buckets of common variants small; unknown years meet everything. Variant, sex, birth year, country of care, authors,
-diagnoses and phenotypes are compared as Dice coefficients of their q-gram vectors, weighted by field, and an isotonic
-regression turns the weighted score into a confidence: it is fitted on a bounded sample of candidate pairs, of which those with
-a contradiction in sex or birth year are known to be different people.
-
-`found` keeps confident pairs that pass the exact rule: a variant in common, no different stated sex, birth years (publication
-year less age at last follow-up) at most two apart. A different stated country only lowers the score. Author lists are read whole.
+Per reported variant a record gets one fixed 160-bit vector: q-grams of the variant's normal form (gene and codon, whatever
+the notation; four bits each, so another gene or codon is far away), two overlapping birth-year tokens and the sex (one bit
+each). What papers on one person disagree about costs little: neighbouring birth years two bits, an unstated birth year two, an
+unstated sex one. All pairs of vectors within Hamming distance `RADIUS` are found exactly by multi-index hashing: cut into five
+32-bit words, two vectors within distance 4 agree in at least one word, so an equi-join on (word number, word, birth-year cell)
+meets every such pair; a pair is kept only at its first common word. Cells of three years, entered with their neighbours on one
+side, keep the buckets of common variants small: records whose stated birth years lie two cells or more apart (over three years)
+are not met, they are different people by definition; unknown years meet everything.
+
+Variants, sex, birth year, country of care, authors, diagnoses and phenotypes are compared as Dice coefficients of their bit
+vectors. A first score weighs them by field (`WEIGHTS`); expectation maximisation over the counts of all candidate pairs per
+pattern of Dice levels turns it into confidences: per field and level it estimates how often pairs of one person and of
+different people show it (latent classes, no labels), and a pair's confidence is the posterior of the first. An unstated field
+says nothing. The patterns are at most (`LEVELS` + 1) to the number of fields, whatever the number of pairs.
+
+`found` keeps pairs by their confidence; an exact check follows: no different stated sex, birth years (publication year less
+age at last follow-up) at most two apart. A different country only lowers the confidence. Author lists are read whole.
 
 Cases: repeats of a record count once; records without readable variant have no partner; null parts (sex, age, year, country,
 authors) neither support nor contradict; null elements of arrays are skipped; records of one pmid are never paired; several
-catalogue rows of one pmid count as the latest; empty tables give an empty result; extra columns are ignored.
+catalogue rows of one pmid count as the latest; with fewer than `LEAST_PAIRS` candidate pairs the first score itself is the
+confidence; empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.lookalike import fold, strip_accents
 from ..session import materialise
 
-RADIUS = 3
-WORDS = 4
+RADIUS, WORDS = 4, 5
+BITS = 32 * WORDS
 CELL_YEARS = 3
 MAX_YEARS = 2.0
-MAX_CALIBRATION = 50_000
+LEAST_PAIRS, LEVELS, ROUNDS = 50, 4, 60
 CONFIDENT = 0.5
-# What two descriptions of one person must share weighs most; free-typed lists differ between papers and weigh little.
-WEIGHTS = {"variant": 0.25, "sex": 0.3, "year": 0.25, "country": 0.1, "authors": 0.05, "diagnoses": 0.03, "phenotypes": 0.02}
+# Where the estimation starts: what two descriptions of one person must share weighs most, free-typed lists weigh little.
+WEIGHTS = {"variants": 0.2, "sexes": 0.3, "born": 0.3, "country": 0.1, "authors": 0.05, "diagnoses": 0.03, "phenotypes": 0.02}
+LONGS = {"variants": 3, "sexes": 1, "born": 2, "country": 1, "authors": 8, "diagnoses": 4, "phenotypes": 4}
 
 # Three-letter to one-letter amino acids.
 AMINO = {"ala": "A", "arg": "R", "asn": "N", "asp": "D", "cys": "C", "gln": "Q", "glu": "E", "gly": "G", "his": "H", "ile": "I", "leu": "L", "lys": "K", "met": "M", "phe": "F", "pro": "P", "ser": "S", "thr": "T", "trp": "W", "tyr": "Y", "val": "V", "ter": "*", "stop": "*"}
@@ -91,8 +100,22 @@ def _longs(v: int, size: int) -> list[int]:
     return out
 
 
-def variant_vector(v: str) -> int:
-    return _bits(_grams(v, 2) | _grams(v, 3), 128, 4)
+def variant_bits(v: str) -> int:
+    return _bits(_grams(v, 2) | _grams(v, 3), BITS, 4)
+
+
+def identity_vector(variant: str, sex: str | None, birth: float | None) -> int:
+    """The vector that is searched: one variant with the person's sex and birth year."""
+    tokens = {f"sex {sex}"} if sex else set()
+    if birth is not None:
+        cell = math.floor((birth + 1e-6) / MAX_YEARS)
+        tokens |= {f"born {cell}", f"born {cell + 1}"}
+    return variant_bits(variant) | _bits(tokens, BITS, 1)
+
+
+def birth_bits(birth: float) -> int:
+    """The five half-years around a birth; years 64 apart share a bit."""
+    return sum(1 << ((math.floor(2 * birth) + i) % 128) for i in range(-2, 3))
 
 
 def field_vector(texts: list[str], size: int, hashes: int = 2) -> list[int] | None:
@@ -113,7 +136,11 @@ def age_years(iso: str | None) -> float | None:
     return y + mo / 12 + w * 7 / 365.25 + d / 365.25
 
 
-_ENCODED = "record_id string, pmid string, sex string, birth double, variants array<string>, words array<array<int>>, country array<bigint>, authors array<bigint>, diagnoses array<bigint>, phenotypes array<bigint>"
+_ENCODED = "record_id string, pmid string, sex string, birth double, words array<array<int>>, variants array<bigint>, sexes array<bigint>, born array<bigint>, country array<bigint>, authors array<bigint>, diagnoses array<bigint>, phenotypes array<bigint>"
+
+
+def _words(v: int) -> list[int]:
+    return [x - 2**32 if x >= 2**31 else x for x in ((v >> (32 * i)) & (2**32 - 1) for i in range(WORDS))]
 
 
 def _encode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,13 +150,18 @@ def _encode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             forms = sorted({v for g in (r.findings if r.findings is not None else []) if g is not None for v in normal_variants(g["g"], g["c"], g["p"], g["t"])})
             if not forms:
                 continue
-            vectors = [variant_vector(v) for v in forms]
-            words = [[x - 2**32 if x >= 2**31 else x for x in ((v >> (32 * i)) & (2**32 - 1) for i in range(WORDS))] for v in vectors]
             sex = (r.sex or "").strip().upper()
+            sex = sex if sex in ("MALE", "FEMALE") else None
             age, year = age_years(r.age), r.pub_year
             birth = float(year) - age if age is not None and year is not None and year == year else None
+            every = 0
+            for v in forms:
+                every |= variant_bits(v)
             texts = lambda x: [t for t in x if t] if x is not None else []
-            out.append((r.record_id, r.pmid, sex if sex in ("MALE", "FEMALE") else None, birth, forms, words, field_vector([r.country] if r.country else [], 64), field_vector(texts(r.authors), 512, 1), field_vector(texts(r.diagnoses), 256, 1), field_vector(texts(r.phenotypes), 256, 1)))
+            out.append((
+                r.record_id, r.pmid, sex, birth, [_words(identity_vector(v, sex, birth)) for v in forms], _longs(every, 192), _longs(1 if sex == "MALE" else 2, 64) if sex else None, None if birth is None else _longs(birth_bits(birth), 128),
+                field_vector([r.country] if r.country else [], 64), field_vector(texts(r.authors), 512, 1), field_vector(texts(r.diagnoses), 256, 1), field_vector(texts(r.phenotypes), 256, 1),
+            ))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in _ENCODED.split(", ")])
 
 
@@ -156,7 +188,7 @@ def _cells(left: bool):
 def close_pairs(encoded: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(record_a, record_b, distance): records of different pmids with two variant vectors within the radius, exactly."""
     if radius >= WORDS:
-        raise ValueError("multi-index hashing over four words is exact up to distance 3")
+        raise ValueError(f"multi-index hashing over {WORDS} words is exact up to distance {WORDS - 1}")
     rows = encoded.select("record_id", "pmid", "birth", F.explode("words").alias("w"))
     rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(WORDS - 1)))).withColumn("word", F.col("w")[F.col("k")])
     a = rows.withColumn("cell", F.explode(_cells(True))).select("k", "word", "cell", F.col("record_id").alias("record_a"), F.col("pmid").alias("pmid_a"), F.col("w").alias("wa"))
@@ -169,55 +201,62 @@ def close_pairs(encoded: DataFrame, radius: int = RADIUS) -> DataFrame:
     return met.withColumn("distance", F.col("distance") - high).where(F.col("distance") <= radius).groupBy("record_a", "record_b").agg(F.min("distance").alias("distance"))
 
 
-def _dice(a: str, b: str, longs: int):
-    both = sum(F.bit_count(F.col(a)[i].bitwiseAND(F.col(b)[i])) for i in range(longs))
-    size = sum(F.bit_count(F.col(a)[i]) + F.bit_count(F.col(b)[i]) for i in range(longs))
-    return F.when(F.col(a).isNull() | F.col(b).isNull(), F.lit(None).cast("double")).otherwise(2.0 * both / size)
+def _dice(field: str):
+    a, b, longs = F.col(f"{field}_a"), F.col(f"{field}_b"), range(LONGS[field])
+    both = sum(F.bit_count(a[i].bitwiseAND(b[i])) for i in longs)
+    size = sum(F.bit_count(a[i]) + F.bit_count(b[i]) for i in longs)
+    return F.when(a.isNotNull() & b.isNotNull(), 2.0 * both / size)
 
 
 def score(pairs: DataFrame, encoded: DataFrame) -> DataFrame:
-    """Field-weighted Dice of every pair, and whether sex, birth year or country contradict."""
-    fields = ["sex", "birth", "variants", "country", "authors", "diagnoses", "phenotypes"]
+    """Every pair with the Dice coefficient of each field (`d_…`, null if a side is unstated), their weighted mean, and what the
+    exact check needs: whether the stated sexes agree and the years between the births."""
+    fields = ["sex", "birth", *WEIGHTS]
     side = lambda s: encoded.select(F.col("record_id").alias(f"record_{s}"), *[F.col(f).alias(f"{f}_{s}") for f in fields])
     x = pairs.join(side("a"), "record_a").join(side("b"), "record_b")
-    gap = F.abs(F.col("birth_a") - F.col("birth_b"))
-    shared = F.size(F.array_intersect("variants_a", "variants_b"))
-    part = {
-        "variant": 2.0 * shared / (F.size("variants_a") + F.size("variants_b")),
-        "sex": F.when(F.col("sex_a").isNotNull() & F.col("sex_b").isNotNull(), (F.col("sex_a") == F.col("sex_b")).cast("double")),
-        "year": F.when(gap.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1.0 - (gap - MAX_YEARS) / MAX_YEARS))),
-        "country": _dice("country_a", "country_b", 1),
-        "authors": _dice("authors_a", "authors_b", 8),
-        "diagnoses": _dice("diagnoses_a", "diagnoses_b", 4),
-        "phenotypes": _dice("phenotypes_a", "phenotypes_b", 4),
-    }
-    x = x.withColumns({f"d_{k}": v for k, v in part.items()}).withColumn("shared", shared).withColumn("gap", gap)
+    x = x.withColumns({f"d_{k}": _dice(k) for k in WEIGHTS})
     total = sum(F.when(F.col(f"d_{k}").isNotNull(), F.lit(w)).otherwise(0.0) for k, w in WEIGHTS.items())
     weighted = sum(F.coalesce(F.col(f"d_{k}"), F.lit(0.0)) * w for k, w in WEIGHTS.items())
-    contradicted = F.coalesce(F.col("d_sex") == 0.0, F.lit(False)) | F.coalesce(F.col("gap") > MAX_YEARS + 1e-6, F.lit(False))
-    return x.select("record_a", "record_b", "distance", "shared", (weighted / total).alias("score"), contradicted.alias("contradicted"), F.coalesce(F.col("d_country") < 0.5, F.lit(False)).alias("elsewhere"))
+    return x.select("record_a", "record_b", "distance", *[f"d_{k}" for k in WEIGHTS], (weighted / total).alias("score"), (F.col("sex_a") == F.col("sex_b")).alias("same_sex"), F.abs(F.col("birth_a") - F.col("birth_b")).alias("gap"))
+
+
+def estimate(levels: np.ndarray, n: np.ndarray, start: np.ndarray, rounds: int = ROUNDS) -> tuple[float, np.ndarray]:
+    """Expectation maximisation of two latent classes over patterns: `levels` (patterns x fields, -1 for unstated), `n` pairs
+    per pattern, `start` the first guess of the share of one person. Returns the prior log-odds and the log-ratio of every
+    field and level (0 in the first column, which stands for unstated)."""
+    fields = levels.shape[1]
+    share, ratio, odds = np.clip(start, 0.01, 0.99), np.zeros((fields, LEVELS + 1)), 0.0
+    for _ in range(rounds):
+        for f in range(fields):
+            same, other = (np.array([(n * w)[levels[:, f] == v].sum() for v in range(LEVELS)]) + 0.5 for w in (share, 1 - share))
+            ratio[f, 1:] = np.log(same / same.sum()) - np.log(other / other.sum())
+        p = np.clip((n * share).sum() / n.sum(), 1e-6, 1 - 1e-6)
+        odds = float(np.log(p / (1 - p)))
+        share = 1 / (1 + np.exp(-np.clip(odds + ratio[np.arange(fields), levels + 1].sum(axis=1), -50, 50)))
+    return odds, ratio
 
 
 def match(individuals: DataFrame, documents: DataFrame) -> DataFrame:
-    """`(record_a, record_b, shared, score, confidence, contradicted, elsewhere)` of every close pair."""
+    """`(record_a, record_b, distance, d_…, score, same_sex, gap, confidence)` of every close pair."""
     encoded = materialise(encode(individuals, documents), "encoded")
     scored = materialise(score(close_pairs(encoded), encoded), "scored-pairs")
-    n = scored.count()
-    sample = scored.where(F.pmod(F.xxhash64("record_a", "record_b"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, MAX_CALIBRATION / max(n, 1))))
-    sample = sample.select("score", (~F.col("contradicted")).cast("double").alias("same"))
-    if n < 20 or sample.select("same").distinct().count() < 2:
+    level = {k: F.coalesce(F.least(F.floor(F.col(f"d_{k}") * LEVELS), F.lit(LEVELS - 1)), F.lit(-1)).cast("int") for k in WEIGHTS}
+    rows = scored.groupBy(*[v.alias(k) for k, v in level.items()]).agg(F.count("*").alias("n"), F.avg("score").alias("score")).collect()
+    if sum(r.n for r in rows) < LEAST_PAIRS:
         return scored.withColumn("confidence", F.col("score"))
-    isotonic = IsotonicRegression(featuresCol="score", labelCol="same", predictionCol="confidence").fit(sample)
-    return isotonic.transform(scored)
+    odds, ratio = estimate(np.array([[r[k] for k in WEIGHTS] for r in rows]), np.array([r.n for r in rows], dtype=float), np.array([r.score for r in rows]) ** 4)
+    total = sum((F.element_at(F.array(*map(F.lit, ratio[i].tolist())), level[k] + 2) for i, k in enumerate(WEIGHTS)), F.lit(odds))
+    return scored.withColumn("confidence", 1 / (1 + F.exp(-total)))
 
 
 def found(individuals: DataFrame, documents: DataFrame) -> DataFrame:
-    """(record_a, record_b) of confident pairs that pass the exact rule."""
-    m = match(individuals, documents)
-    return m.where((F.col("confidence") >= CONFIDENT) & (F.col("shared") > 0) & ~F.col("contradicted")).select("record_a", "record_b")
+    """(record_a, record_b) of confident pairs that pass the exact check."""
+    m = match(individuals, documents).where(F.col("confidence") >= CONFIDENT)
+    return m.where(F.coalesce("same_sex", F.lit(True)) & F.coalesce(F.col("gap") <= MAX_YEARS + 1e-6, F.lit(True))).select("record_a", "record_b")
 
 
 def confidences(individuals: DataFrame, documents: DataFrame) -> DataFrame:
-    """How many candidate pairs fall into each tenth of confidence, and how many of them a stated fact contradicts."""
-    m = match(individuals, documents)
-    return m.groupBy(F.round("confidence", 1).alias("confidence")).agg(F.count("*").alias("n_pairs"), F.count_if("contradicted").alias("n_contradicted"))
+    """Per twentieth of confidence: candidate pairs, mean vector distance, and how many pairs differ in sex or by over two years."""
+    contradicted = F.coalesce(~F.col("same_sex"), F.lit(False)) | F.coalesce(F.col("gap") > MAX_YEARS + 1e-6, F.lit(False))
+    m = match(individuals, documents).groupBy((F.round(F.col("confidence") * 20) / 20).alias("confidence"))
+    return m.agg(F.count("*").alias("n_pairs"), F.round(F.avg("distance"), 2).alias("mean_distance"), F.count_if(contradicted).alias("n_contradicted"))

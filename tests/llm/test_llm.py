@@ -141,13 +141,42 @@ def test_author_lists_are_read_whole_and_a_country_is_no_contradiction(spark):
 
 def test_multi_index_hashing_is_exact(spark):
     r = random.Random(5)
-    base = [r.getrandbits(128) for _ in range(12)]
-    vectors = [v ^ sum(1 << b for b in r.sample(range(128), r.randint(0, 5))) for v in base for _ in range(6)]
-    word = lambda v, i: (x := (v >> (32 * i)) & (2**32 - 1)) - (2**32 if x >= 2**31 else 0)
-    rows = [(f"{i:03}", str(i), 2000.0 + i % 2 if i % 5 else None, [[word(v, k) for k in range(4)]]) for i, v in enumerate(vectors)]
+    base = [r.getrandbits(entity_match.BITS) for _ in range(12)]
+    vectors = [v ^ sum(1 << b for b in r.sample(range(entity_match.BITS), r.randint(0, 6))) for v in base for _ in range(6)]
+    rows = [(f"{i:03}", str(i), 2000.0 + i % 2 if i % 5 else None, [entity_match._words(v)]) for i, v in enumerate(vectors)]
     got = {(x.record_a, x.record_b): x.distance for x in entity_match.close_pairs(spark.createDataFrame(rows, "record_id string, pmid string, birth double, words array<array<int>>")).collect()}
-    want = {(f"{i:03}", f"{j:03}"): d for i in range(len(vectors)) for j in range(i + 1, len(vectors)) if (d := (vectors[i] ^ vectors[j]).bit_count()) <= 3}
-    assert got == want
+    want = {(f"{i:03}", f"{j:03}"): d for i in range(len(vectors)) for j in range(i + 1, len(vectors)) if (d := (vectors[i] ^ vectors[j]).bit_count()) <= entity_match.RADIUS}
+    assert got == want and set(got.values()) > {0, entity_match.RADIUS}
+
+
+def test_sex_and_birth_year_cost_little_and_another_variant_much():
+    v = entity_match.identity_vector
+    far = lambda a, b: (a ^ b).bit_count()
+    one = v("ABC1:101", "MALE", 1990.5)
+    assert far(one, v("ABC1:101", None, 1990.5)) == 1 and far(one, v("ABC1:101", "MALE", 1992.5)) <= 2 and far(one, v("ABC1:101", None, None)) <= 3
+    assert min(far(one, v(x, "MALE", 1990.5)) for x in ("ABD1:101", "ABC1:102", "ABC2:101", "AB1:101")) > entity_match.RADIUS
+
+
+def test_confidences_are_learnt_without_labels(spark):
+    """Persons described twice among carriers of the same variants: confidence alone tells them apart."""
+    r = random.Random(13)
+    rows, papers, same, other = [], [], set(), set()
+    for i in range(150):
+        sex, year, place = r.choice(["MALE", "FEMALE"]), r.randint(1960, 2000), f"Land{r.randint(0, 9)}"
+        for k in range(3):  # two descriptions of one person, and another carrier
+            mine = k < 2
+            who = (sex, year, place) if mine else (r.choice(["MALE", "FEMALE"]), year + r.choice([-4, -3, 3, 4]), f"Land{r.randint(10, 19)}")
+            pmid = f"{i}-{k}"
+            papers.append((pmid, 2010 + k, [f"Author{i} A"], 1.0))
+            rows.append((f"{i:03}-{k}", pmid, (who[0] if r.random() > 0.1 else None, who[2], (f"P{2010 + k - who[1]}Y",) if r.random() > 0.1 else None), [("GEN1", f"c.{3 * i + 1}A>T", None, None)], None, None))
+        same.add((f"{i:03}-0", f"{i:03}-1"))
+        other |= {(f"{i:03}-0", f"{i:03}-2"), (f"{i:03}-1", f"{i:03}-2")}
+    ind = spark.createDataFrame([(a, b, (s, g, d, p)) for a, b, s, g, d, p in rows], f"record_id string, pmid string, record {RECORD}")
+    docs = spark.createDataFrame(papers, "pmid string, pub_year int, authors array<string>, added_at double")
+    got = {(x.record_a, x.record_b): x.confidence for x in entity_match.match(ind, docs).collect()}
+    assert sum(got.get(p, 0) >= entity_match.CONFIDENT for p in same) >= 0.97 * len(same)
+    assert sum(got.get(p, 0) >= entity_match.CONFIDENT for p in other) <= 0.03 * len(other)
+    assert len({round(c, 3) for c in got.values()}) > 5
 
 
 # -- problem 7 -------------------------------------------------------------------------------------------------------
