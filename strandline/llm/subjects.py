@@ -5,11 +5,13 @@
    language weigh as little as those of a large one. The model keeps at most `MAX_TERMS` words.
 2. Every document becomes the ids of its known words, written once to the shared folder.
 3. Truncated SVD by randomised subspace iteration over all documents: each pass multiplies AᵀA by a thin matrix that is held
-   by every task; partial products are summed by group and only the thin sum reaches the driver.
+   by every task; partial products are summed `FAN` at a time in two rounds, so no worker ever holds more than `FAN` of them,
+   and the driver adds what is left one by one.
 4. Seed centroids per subject and language from the rated documents (two raters, shared among a document's subjects) and the
    subjects' descriptions; then, some times over, every document that is clearly nearest to one centroid moves it.
 5. Sentences are embedded likewise; a sentence bears the subject whose nearest centroid's cosine is high and clear enough. A
-   document gets every subject that makes up about a fifth or more of its subject-bearing sentences.
+   document gets every subject that makes up about a fifth or more of its subject-bearing sentences, and at least two of them:
+   a single sentence is a passing one, also in a document without another.
 
 Cases: null and empty texts give no row; documents without subject-bearing sentence give none; documents of any length are
 read whole; repeated doc ids give distinct (doc_id, subject) rows; labels of unknown documents or subjects are ignored; without
@@ -27,14 +29,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
 
-MAX_TERMS = 8192
+MAX_TERMS, MAX_SUBJECTS = 8192, 1000
 MIN_DOCS, MIN_SHARE, MAX_SHARE = 5, 5e-4, 0.3
 MIN_LANGUAGE = 20
 RANK, EXTRA, PASSES, ROUNDS = 64, 10, 3, 4
 CLEAR = 0.2
 COSINE, MARGIN, LEAST = 0.3, 0.1, 0.15
-SHARE = 0.18
-GROUPS = 8
+SHARE, SENTENCES = 0.18, 2
+FAN = 32
 
 _PUNCTUATION = ".,;:()[]\"“”„«»!?*#|–—…"
 _END = "\x00"
@@ -66,7 +68,7 @@ def _counts(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def weights(docs: DataFrame, max_terms: int = MAX_TERMS) -> tuple[list[str], np.ndarray, list[str]]:
     """(words, weights, languages of their own) from counts over all documents."""
     counts = materialise(docs.mapInPandas(_counts, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")), "word-counts")
-    sizes = {r[0]: r[1] for r in counts.where("word = ''").select("lang", "n").orderBy(F.desc("n")).limit(200).collect()}
+    sizes = {r[0]: r[1] for r in counts.where("word = ''").select("lang", "n").collect()}  # one row per language
     total = sum(sizes.values())
     if not total:
         return [], np.zeros(0, dtype=np.float32), []
@@ -101,9 +103,9 @@ def _blocks(it: Iterator[pd.DataFrame], size: int = 512) -> Iterator[pd.DataFram
             yield pdf.iloc[at : at + size]
 
 
-def _summed(rows: DataFrame, part, shape: tuple[int, int]) -> np.ndarray:
-    """The sum over all tasks of a fixed-size matrix: `part` folds a task's blocks into one; groups of tasks are added before
-    anything reaches the driver."""
+def _summed(rows: DataFrame, part, shape: tuple[int, int], fan: int = FAN) -> np.ndarray:
+    """The sum over all tasks of a fixed-size matrix: `part` folds a task's blocks into one. Two rounds add `fan` matrices at a
+    time, whatever the number of tasks; the driver reads one partition of the rest after the other."""
 
     def task(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -111,17 +113,21 @@ def _summed(rows: DataFrame, part, shape: tuple[int, int]) -> np.ndarray:
         total = np.zeros(shape, dtype=np.float32)
         for block in _blocks(it):
             total += part(block)
-        yield pd.DataFrame({"g": [TaskContext.get().partitionId() % GROUPS], "m": [total.tobytes()]})
+        if total.any():
+            yield pd.DataFrame({"g": [TaskContext.get().partitionId() // fan], "m": [total.tobytes()]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(shape, dtype=np.float64)
         for b in pdf["m"]:
             total += np.frombuffer(b, dtype=np.float32).reshape(shape)
-        return pd.DataFrame({"m": [total.astype(np.float32).tobytes()]})
+        return pd.DataFrame({"g": [pdf["g"].iloc[0] // fan], "m": [total.astype(np.float32).tobytes()]})
 
+    sums = rows.mapInPandas(task, "g int, m binary")
+    for _ in range(2):
+        sums = sums.groupBy("g").applyInPandas(add, "g int, m binary")
     out = np.zeros(shape, dtype=np.float64)
-    for r in rows.mapInPandas(task, "g int, m binary").groupBy("g").applyInPandas(add, "m binary").collect():
-        out += np.frombuffer(r[0], dtype=np.float32).reshape(shape)
+    for r in sums.toLocalIterator():
+        out += np.frombuffer(r["m"], dtype=np.float32).reshape(shape)
     return out
 
 
@@ -238,7 +244,7 @@ def _assign(names: list[str], words: list[str], weight: np.ndarray, basis: np.nd
             table = np.zeros((len(pdf), s))
             np.add.at(table, (owner[good], top[good]), 1)
             share = table / np.maximum(table.sum(axis=1, keepdims=True), 1)
-            i, j = np.nonzero(share >= SHARE)
+            i, j = np.nonzero((share >= SHARE) & (table >= SENTENCES))
             yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[i], "subject": [names[x] for x in j], "share": share[i, j]})
 
     return run
@@ -247,7 +253,9 @@ def _assign(names: list[str], words: list[str], weight: np.ndarray, basis: np.nd
 def assign(documents: DataFrame, subjects: DataFrame, labels: DataFrame) -> DataFrame:
     """`(doc_id, subject, share)` of every document that is about at least one subject."""
     docs = documents.where("text is not null and doc_id is not null").select("doc_id", "text", "lang")
-    listed = [(r[0], r[1]) for r in subjects.where("subject is not null").select("subject", "description").distinct().orderBy("subject").limit(1000).collect()]
+    listed = [(r[0], r[1]) for r in subjects.where("subject is not null").select("subject", "description").distinct().orderBy("subject").limit(MAX_SUBJECTS + 1).collect()]
+    if len(listed) > MAX_SUBJECTS:
+        raise ValueError(f"more than {MAX_SUBJECTS} subjects; a centroid of each is held by every task")
     words, weight, langs = weights(docs)
     if not words or not listed:
         return docs.select("doc_id", F.lit("").alias("subject"), F.lit(0.0).alias("share")).where("false")

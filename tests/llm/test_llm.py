@@ -3,6 +3,7 @@
 import os
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -264,3 +265,11 @@ def test_subjects_of_generated_documents(spark):
         got.setdefault(x.doc_id, set()).add(x.subject)
     assert sum(got.get(n) == t for n, t in truth.items()) / len(truth) > 0.97 and not {500, 501, 502} & set(got)
     assert subjects.found(d.where("false"), s, lab).count() == 0
+
+
+def test_sums_hold_few_matrices_at_a_time(spark):
+    """2,000 tasks: no group has more than `fan` matrices, and the total is right."""
+    rows = spark.range(0, 4000, 1, 2000).select(F.array(F.lit(1)).alias("ids"), "id")
+    part = lambda block: np.array([[len(block), block["id"].sum()]], dtype=np.float32)
+    assert subjects._summed(rows, part, (1, 2)).tolist() == [[4000.0, 4000 * 3999 / 2]]
+    assert subjects._summed(rows.where("false"), part, (1, 2)).tolist() == [[0.0, 0.0]]
