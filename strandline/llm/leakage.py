@@ -1,25 +1,28 @@
 """Problem 8: evaluation texts leaking into documents.
 
-The evaluation items (a small fixed table, size checked) become a broadcast hash set of normalised word 5-grams. Every
-document's token windows are scanned against it in Arrow batches: words are mapped to ids of the items' vocabulary, windows
-of known words are hashed in one numpy pass, and only windows in the set are looked at again. Hits are verified exactly: a
-diagonal run of at least `MIN_RUN` equal words, or the whole item within the document at a word edit distance of at most
-`MAX_CHANGED` of its length (bit-parallel, semi-global).
+The evaluation items become a broadcast hash set of normalised word n-grams (blocks of at most `BLOCK_BYTES` of item text, one
+pass over the documents each, so any number of items is handled the same way). Every document's token windows are scanned
+against it in Arrow batches: words are mapped to ids of the items' vocabulary, windows of known words are hashed in one numpy
+pass, and only windows in the set are looked at again. Hits are verified exactly: a run of at least `MIN_RUN` equal words (all of
+a shorter item), or the whole item within the document at a word edit distance of at most `MAX_CHANGED` of its length
+(bit-parallel, semi-global). `MAX_CHANGED` is 0.16, a little more than the one word in eight of the contract ("about").
 
-A 5-gram seed misses neither kind: a run of 15 words holds eleven, and with one word in six changed some unchanged stretch of
-an item still holds one.
+The seeds miss neither kind. An item of n words may have k = floor(0.16 n) changed; cut into k + 1 stretches, one of them is
+unchanged, so its grams have n // (k + 1) words, five at most (a run of 15 words holds eleven of those). A changed whole still
+holds at least n - q + 1 - k q of its q-grams, and only documents with so many hits are measured (q-gram lemma).
 
 Words: look-alike characters folded, lower case, inner punctuation and line-break hyphens removed; other punctuation ends a
 word.
 
-Cases: null and empty texts give no row; items with fewer than five words are looked for as a whole run of theirs; null items are
-skipped; texts of any length are read whole; repeated rows give one row; extra columns are ignored.
+Cases: null and empty texts give no row; items of up to six words allow no change and are looked for as a whole run; null items
+are skipped; texts of any length are read whole; repeated rows give one row; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,8 +33,7 @@ from ..functions.lookalike import fold
 N = 5
 MIN_RUN = 15
 MAX_CHANGED = 0.16
-SEED_SHARE = 0.08
-MAX_ITEMS = 200_000
+BLOCK_BYTES = 32 << 20
 _BREAK = re.compile(r"-[ \t]*\r?\n[ \t>]*")
 _DROPPED = ".,:;'’ʼ-"
 _SPACED = "!\"#$%&()*+/<=>?@[\\]^_`{|}~–—‒―−“”„‘‚«»…·•¶§†‡"
@@ -51,23 +53,31 @@ def words(text: str) -> list[str]:
     return t.split()
 
 
+def changes(n: int) -> int:
+    """How many words of an item of `n` words may be changed."""
+    return int(MAX_CHANGED * n)
+
+
+def seed(n: int) -> int:
+    """The length of the grams of an item of `n` words."""
+    return min(N, n // (changes(n) + 1))
+
+
 class Matcher:
-    """The items' vocabulary and 5-gram set; `match` gives the items a word list contains."""
+    """The items' vocabulary and sets of grams; `match` gives the items a text contains."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.items = {i: words(t) for i, t in items if t}
-        self.items = {i: w for i, w in self.items.items() if w}
-        vocabulary = sorted({w for ws in self.items.values() for w in ws})
-        self.ids = {w: n for n, w in enumerate(vocabulary, 1)}
+        listed = {i: words(t) for i, t in items if t}
+        listed = {i: w for i, w in listed.items() if w}
+        self.ids = {w: n for n, w in enumerate(sorted({w for ws in listed.values() for w in ws}), 1)}
         self.mult = [pow(0x9E3779B97F4A7C15, n, 2**64) for n in range(1, N + 1)]
-        self.coded = {i: np.array([self.ids[w] for w in ws], dtype=np.int64) for i, ws in self.items.items()}
-        self.grams: dict[int, list[tuple[int, int]]] = {}
+        self.coded = {i: np.array([self.ids[w] for w in ws], dtype=np.int64) for i, ws in listed.items()}
+        self.grams: dict[int, dict[int, list[tuple[int, int]]]] = {}  # length -> hash -> (item, place)
         for i, code in self.coded.items():
-            if len(code) >= N:
-                for q, h in enumerate(self._hashes(code).tolist()):
-                    self.grams.setdefault(h, []).append((i, q))
-        self.known = np.array(sorted(self.grams), dtype=np.uint64)
-        self.short = {i: ws for i, ws in self.items.items() if len(ws) < N}
+            q = seed(len(code))
+            for at, h in enumerate(self._hashes(code, q).tolist()):
+                self.grams.setdefault(q, {}).setdefault(h, []).append((i, at))
+        self.known = {q: np.array(sorted(g), dtype=np.uint64) for q, g in self.grams.items()}
         self.masks = {}
         for i, code in self.coded.items():
             m: dict[int, int] = {}
@@ -75,11 +85,11 @@ class Matcher:
                 m[c] = m.get(c, 0) | (1 << n)
             self.masks[i] = m
 
-    def _hashes(self, code: np.ndarray) -> np.ndarray:
+    def _hashes(self, code: np.ndarray, q: int) -> np.ndarray:
         c = code.astype(np.uint64)
-        n = len(c) - N + 1
+        n = len(c) - q + 1
         h = np.zeros(n, dtype=np.uint64)
-        for k in range(N):
+        for k in range(q):
             h += (c[k : k + n] + np.uint64(k)) * np.uint64(self.mult[k])
             h ^= h >> np.uint64(29)
         return h
@@ -88,47 +98,40 @@ class Matcher:
         get = self.ids.get
         return np.array([get(w, 0) for w in words(text)], dtype=np.int64)
 
-    def hits(self, code: np.ndarray) -> list[int]:
-        """Window starts whose 5-gram is in the set."""
-        if len(code) < N or not len(self.known):
+    def hits(self, code: np.ndarray, q: int) -> list[tuple[int, int]]:
+        """(start, hash) of the windows of `q` words that are in the set."""
+        known = self.known[q]
+        if len(code) < q:
             return []
         zero = np.concatenate(([0], np.cumsum(code == 0)))
-        at = np.flatnonzero(zero[N:] == zero[:-N])
+        at = np.flatnonzero(zero[q:] == zero[:-q])
         if not len(at):
             return []
-        h = self._hashes(code)[at]
-        pos = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-        return at[self.known[pos] == h].tolist()
+        h = self._hashes(code, q)[at]
+        pos = np.minimum(np.searchsorted(known, h), len(known) - 1)
+        good = known[pos] == h
+        return list(zip(at[good].tolist(), h[good].tolist(), strict=True))
 
     def match(self, text: str) -> list[tuple[int, str]]:
         """(item, kind) with kind `run` or `whole`."""
         code = self.codes(text)
         found: dict[int, str] = {}
-        for i, ws in self.short.items():
-            want = [self.ids[w] for w in ws]
-            n = len(want)
-            if any(code[p] == want[0] and code[p : p + n].tolist() == want for p in range(len(code) - n + 1)):
-                found[i] = "whole"
-        starts = self.hits(code)
-        if not starts:
-            return sorted(found.items())
-        hashes = self._hashes(code)
-        last: dict[tuple[int, int], tuple[int, int]] = {}
-        seen: dict[int, list[int]] = {}
-        for p in starts:
-            for i, q in self.grams[int(hashes[p])]:
-                seen.setdefault(i, []).append(p)
-                before, run = last.get((i, p - q), (-9, 0))
-                run = run + 1 if before == p - 1 else 1
-                last[(i, p - q)] = (p, run)
-                if run + N - 1 >= min(MIN_RUN, len(self.coded[i])):
-                    found[i] = "run"
-        for i, ps in seen.items():
-            n = len(self.coded[i])
-            if i in found or len(set(ps)) < max(1, SEED_SHARE * (n - N + 1)):
-                continue
-            if self.whole(i, code, ps) <= MAX_CHANGED * n:
-                found[i] = "whole"
+        for q, grams in self.grams.items():
+            last: dict[tuple[int, int], tuple[int, int]] = {}
+            seen: dict[int, list[int]] = {}
+            for p, h in self.hits(code, q):
+                for i, at in grams[h]:
+                    seen.setdefault(i, []).append(p)
+                    before, run = last.get((i, p - at), (-9, 0))
+                    run = run + 1 if before == p - 1 else 1
+                    last[(i, p - at)] = (p, run)
+                    if run + q - 1 >= min(MIN_RUN, len(self.coded[i])):
+                        found[i] = "run"
+            for i, ps in seen.items():
+                n = len(self.coded[i])
+                k = changes(n)
+                if i not in found and k and len(set(ps)) >= n - q + 1 - k * q and self.whole(i, code, ps) <= k:
+                    found[i] = "whole"
         return sorted(found.items())
 
     def whole(self, i: int, code: np.ndarray, ps: list[int]) -> int:
@@ -177,12 +180,17 @@ def _batches(items: list[tuple[int, str]]):
     return run
 
 
-def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """`(doc_id, item_id, kind)` of every document that contains an item, in part (`run`) or as a changed whole (`whole`)."""
-    if (n := items.count()) > MAX_ITEMS:
-        raise ValueError(f"{n} evaluation items; split them into blocks of at most {MAX_ITEMS}")
-    rows = sorted((r[0], r[1]) for r in items.where("item_id is not null and text is not null").select("item_id", "text").collect())
-    return documents.where("text is not null and doc_id is not null").select("doc_id", "text").mapInPandas(_batches(rows), "doc_id bigint, item_id bigint, kind string").distinct()
+    items = items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    texts = documents.where("text is not null and doc_id is not null").select("doc_id", "text")
+    parts = []
+    for b in range(blocks):
+        rows = sorted((r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect())
+        parts.append(texts.mapInPandas(_batches(rows), "doc_id bigint, item_id bigint, kind string"))
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:

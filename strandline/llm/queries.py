@@ -60,6 +60,10 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.report(t(spark, d, "documents"), t(spark, d, "eval_items"))
 
 
+def p8_clean(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.clean(t(spark, d, "documents"), t(spark, d, "eval_items")).select("doc_id", "pmid", "n_chars")
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return subjects.found(t(spark, d, "documents"), t(spark, d, "subjects"), t(spark, d, "subject_labels"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "p7_fill": p7_fill,
     "p8_found": p8_found,
     "p8_report": p8_report,
+    "p8_clean": p8_clean,
     "p9_found": p9_found,
     "p9_composition": p9_composition,
 }

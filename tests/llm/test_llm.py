@@ -242,6 +242,42 @@ def test_leaks_against_brute_force(spark):
     assert {x.doc_id for x in leakage.clean(d, it).collect()}.isdisjoint({n for n, _ in want})
 
 
+def word_distance(item, text):
+    """The least edit distance of the item to any stretch of the text, by the plain table."""
+    row = [0] * (len(text) + 1)
+    for i, w in enumerate(item, 1):
+        new = [i]
+        for j, x in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (w != x)))
+        row = new
+    return min(row)
+
+
+def test_items_of_every_length_against_brute_force():
+    r = random.Random(10)
+    vocab = [f"w{i}" for i in range(120)]
+    for n in range(1, 61):
+        item = [r.choice(vocab) for _ in range(n)]
+        m = leakage.Matcher([(1, " ".join(item))])
+        for changed in range(leakage.changes(n) + 3):
+            for _ in range(6):
+                ws = list(item)
+                for at in r.sample(range(n), min(changed, n)):
+                    ws[at] = r.choice(["", "other", "other more", ws[at] + "x"])
+                text = " ".join([*(r.choice(vocab) for _ in range(r.randint(0, 9))), *ws, *(r.choice(vocab) for _ in range(r.randint(0, 9)))]).split()
+                run = any(item[a : a + min(n, 15)] == text[b : b + min(n, 15)] for a in range(n - min(n, 15) + 1) for b in range(len(text)))
+                want = run or word_distance(item, text) <= leakage.changes(n)
+                assert bool(m.match(" ".join(text))) == want, (n, item, text)
+
+
+def test_blocks_of_items_give_the_same_leaks(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(3 + i))) for i in range(30)]
+    docs = [(i, f"before {items[i][1]} after") for i in range(30)]
+    d, it = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = {(i, i, "run") for i in range(30)}
+    assert {tuple(x) for x in leakage.leaks(d, it).collect()} == want == {tuple(x) for x in leakage.leaks(d, it, block_bytes=1500).collect()}
+
+
 def test_words_ignore_case_hyphenation_and_lookalikes():
     assert leakage.words("Un-\n  steady, O'Cl\u043eck 53.9 (x)") == leakage.words("unsteady O’clock 539 x")
 
