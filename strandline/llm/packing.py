@@ -1,11 +1,13 @@
 """Problem 7: documents packed into containers of fixed token capacity (sum-of-squares packing).
 
-One pass without a shuffle: every task counts the tokens of its documents with a public byte-level tokenizer and places them
-online. The state of a task is its open bins only: per class of residual gap (the capacity in `CLASSES` equal classes) a
-sorted list of gaps. A document goes where the sum of the squared numbers of open bins per gap class becomes smallest;
-ties take the tightest fit, and a new bin is opened only where that is strictly better. A bin whose gap falls below one
-class width is closed, so state stays bounded by the spread of gaps, not by the input. Documents above the capacity are cut
-into full pieces plus a remainder that is packed like any other item; no other document is split.
+First pass, without a shuffle: every task counts the tokens of its documents with a public byte-level tokenizer and places them
+online. The state of a task is its open bins only: per residual gap the number of open bins, and their numbers. A document goes
+where the sum over all gaps of the squared number of open bins becomes smallest (one numpy pass over the gaps); ties take the
+tightest fit, and a new bin is opened only where that is strictly better. Full bins are closed. Documents above the capacity are
+cut into full pieces plus a remainder that is packed like any other item; no other document is split.
+
+Second pass: every task reports the bins it leaves less than `FULL` filled (number and fill, no documents), and those of `FAN`
+tasks are packed into common containers by the same rule, so a task's last bins don't stay half empty. Only bin ids move.
 
 Assignments depend only on a task's own input, so a lost task is redone with the same bins (ids carry the partition number).
 
@@ -16,17 +18,19 @@ separate items; null or non-positive capacities are ignored; without budgets the
 from __future__ import annotations
 
 import base64
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialise
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pre-tokenisation pattern that belongs to the byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CLASSES = 128
+FULL, FAN = 0.95, 64
 CACHE = 400_000
 _OUT = "budget_id int, bin_id string, doc_id bigint, piece int, tokens int"
 
@@ -66,10 +70,11 @@ class TokenCounter:
 class Packer:
     """Online sum-of-squares packing of one task for one capacity."""
 
-    def __init__(self, capacity: int, name: str, classes: int = CLASSES):
+    def __init__(self, capacity: int, name: str):
         self.capacity, self.name = capacity, name
-        self.width = max(1, capacity // classes)
-        self.open: dict[int, list[tuple[int, int]]] = {}  # gap class -> sorted (gap, bin)
+        self.count = np.zeros(capacity + 1, dtype=np.int64)  # open bins per residual gap; index 0 stays 0
+        self.open: dict[int, list[int]] = {}  # gap -> numbers of its bins
+        self.widest = 0  # no open bin has a greater gap
         self.bins = 0
 
     def _new(self, size: int) -> int:
@@ -78,40 +83,40 @@ class Packer:
         return self.bins
 
     def _put(self, gap: int, number: int) -> None:
-        if gap >= self.width:
-            insort(self.open.setdefault(gap // self.width, []), (gap, number))
+        if gap:
+            self.count[gap] += 1
+            self.open.setdefault(gap, []).append(number)
+            self.widest = max(self.widest, gap)
 
     def place(self, size: int) -> int:
         """The number of the bin that takes an item of at most the capacity."""
-        width, table = self.width, self.open
-        best = None
-        for c in sorted(table):
-            if (c + 1) * width <= size:
-                continue
-            bins = table[c]
-            at = bisect_left(bins, (size, 0))
-            if at == len(bins):
-                continue
-            gap = bins[at][0]
-            after = (gap - size) // width
-            if after == c:
-                change = 0
-            else:
-                change = 1 - 2 * len(bins) + (2 * len(table.get(after, ())) + 1 if gap - size >= width else 0)
-            if best is None or (change, gap) < best[:2]:
-                best = (change, gap, c, at)
+        while self.widest and not self.count[self.widest]:
+            self.widest -= 1
+        if self.widest < max(size, 1):
+            return self._new(size)
+        if not size:
+            return self.open[self.widest][-1]
+        # Moving one bin from gap g to g - size changes the sum of squares by 2 (N(g - size) - N(g)) + 2, an exact fit by 1 - 2 N(g).
+        before = self.count[size : self.widest + 1]
+        change = np.where(before > 0, 2 * (self.count[: self.widest + 1 - size] - before) + 2, np.iinfo(np.int64).max)
+        if before[0]:
+            change[0] -= 1
+        at = int(change.argmin())
         rest = self.capacity - size
-        fresh = 2 * len(table.get(rest // width, ())) + 1 if rest >= width else 0
-        if best is None or fresh < best[0]:
+        if (2 * self.count[rest] + 1 if rest else 0) < change[at]:
             return self._new(size)
-        _, gap, c, at = best
-        bins = table[c]
-        number = bins.pop(at)[1]
-        if not bins:
-            del table[c]
+        gap = size + at
+        number = self.open[gap].pop()
+        self.count[gap] -= 1
+        if not self.open[gap]:
+            del self.open[gap]
         self._put(gap - size, number)
         return number
 
+    def underfull(self) -> list[tuple[str, int]]:
+        """(bin id, tokens) of the bins below `FULL`."""
+        return [(f"{self.name}-{n}", self.capacity - gap) for gap, numbers in sorted(self.open.items()) if gap > (1 - FULL) * self.capacity for n in numbers]
+
     def assign(self, size: int) -> list[tuple[str, int, int]]:
         """(bin id, piece, tokens) of one document."""
         out, piece = [], 0
@@ -127,12 +132,25 @@ def _batches(budgets: list[tuple[int, int]], tokenizer: str):
         counter = TokenCounter(tokenizer)
         part = TaskContext.get().partitionId() if TaskContext.get() else 0
         packers = [(b, Packer(c, f"{b}-{part}")) for b, c in budgets]
+        frame = lambda out: pd.DataFrame(out, columns=["task", "budget_id", "bin_id", "doc_id", "piece", "tokens"]).astype({"task": "int32", "budget_id": "int32", "doc_id": "Int64", "piece": "int32", "tokens": "int32"})
         for pdf in it:
             sizes = [counter.count(t) for t in pdf["text"]]
             order = sorted(range(len(sizes)), key=lambda i: -sizes[i])  # within a batch, large items first
             ids = pdf["doc_id"].tolist()
-            out = [(b, bin_, ids[i], piece, n) for b, packer in packers for i in order for bin_, piece, n in packer.assign(sizes[i])]
-            yield pd.DataFrame(out, columns=["budget_id", "bin_id", "doc_id", "piece", "tokens"]).astype({"budget_id": "int32", "piece": "int32", "tokens": "int32"})
+            yield frame([(part, b, bin_, ids[i], piece, n) for b, packer in packers for i in order for bin_, piece, n in packer.assign(sizes[i])])
+        yield frame([(part, b, bin_, None, -1, n) for b, packer in packers for bin_, n in packer.underfull()])
+
+    return run
+
+
+def _merge(budgets: dict[int, int]):
+    """applyInPandas over the underfull bins that `FAN` tasks leave for one budget: the common container of each."""
+
+    def run(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
+        budget, group = key
+        packer = Packer(budgets[budget], f"{budget}-m{group}")
+        rows = sorted(zip(bins["tokens"], bins["bin_id"], strict=True), reverse=True)
+        return pd.DataFrame([(budget, bin_id, f"{packer.name}-{packer.place(int(n))}") for n, bin_id in rows], columns=["budget_id", "bin_id", "container"]).astype({"budget_id": "int32"})
 
     return run
 
@@ -142,7 +160,12 @@ def pack(documents: DataFrame, budgets: DataFrame, tokenizer: str = TOKENIZER) -
     rows = sorted((r[0], r[1]) for r in budgets.where("budget_id is not null and capacity_tokens > 0").select("budget_id", "capacity_tokens").distinct().limit(1001).collect())
     if len(rows) > 1000:
         raise ValueError("more than 1000 budgets; pack them in several calls")
-    return documents.where("text is not null and doc_id is not null").select("doc_id", "text").mapInPandas(_batches(rows, tokenizer), _OUT)
+    texts = documents.where("text is not null and doc_id is not null").select("doc_id", "text")
+    placed = materialise(texts.mapInPandas(_batches(rows, tokenizer), f"task int, {_OUT}"), "placed")
+    left = placed.where("piece < 0").groupBy("budget_id", F.floor(F.col("task") / FAN).cast("int").alias("group"))
+    merged = left.applyInPandas(_merge(dict(rows)), "budget_id int, bin_id string, container string")
+    out = placed.where("piece >= 0").join(merged, ["budget_id", "bin_id"], "left")
+    return out.select("budget_id", F.coalesce("container", "bin_id").alias("bin_id"), "doc_id", "piece", "tokens")
 
 
 def fill(packed: DataFrame, budgets: DataFrame) -> DataFrame:

@@ -194,6 +194,30 @@ def test_packer_fills_and_never_overflows():
     assert sum(bins.values()) / (512 * len(bins)) > 0.95
 
 
+def test_packer_takes_the_least_sum_of_squares():
+    """Against a plain search over all open bins and a new one."""
+    r = random.Random(14)
+    p, gaps = packing.Packer(40, "b"), {}
+    squares = lambda g: sum(list(g.values()).count(x) ** 2 for x in set(g.values()) - {0})
+    for _ in range(400):
+        size = r.randint(1, 40)
+        options = {n: squares({**gaps, n: gap - size}) for n, gap in gaps.items() if gap >= size}
+        fresh = squares({**gaps, "new": 40 - size})
+        n = p.place(size)
+        after = squares({**gaps, n: gaps.get(n, 40) - size})
+        assert after == min([fresh, *options.values()])
+        gaps[n] = gaps.get(n, 40) - size
+        assert gaps[n] >= 0
+
+
+@pytest.mark.skipif(not os.path.exists(TOKENIZER), reason="no tokenizer files here")
+def test_bins_left_by_tasks_are_packed_together(spark):
+    d = spark.range(0, 64, 1, 16).select(F.col("id").alias("doc_id"), F.lit("word word word word").alias("text"))
+    b = spark.createDataFrame([(1, 64)], "budget_id int, capacity_tokens int")
+    x = packing.fill(packing.pack(d, b), b).first()
+    assert (x.n_pieces, x.n_tokens, x.n_bins, x.fill) == (64, 256, 4, 1.0)
+
+
 @pytest.mark.skipif(not os.path.exists(TOKENIZER), reason="no tokenizer files here")
 def test_chunked_counts_equal_whole_ones(spark):
     c = packing.TokenCounter()
