@@ -1,11 +1,12 @@
 """Problem 1: free-entered values mapped to a reference list (BK-tree under a true edit metric).
 
-The reference list becomes a BK-tree under Levenshtein distance. Every typed value is reduced to its comparison key; an
-equal key wins outright, otherwise the tree returns *every* entry within twice the threshold (a swap of neighbours costs 2
-there), the triangle inequality cuts branches, and the hits are ranked by unrestricted Damerau-Levenshtein distance. Hits
-whose numbers or one-letter prefix differ never count. The list is broadcast while its counted size stays below
-`BROADCAST_ENTRIES`; beyond that it is cut into shards by comparison key, every distinct value meets every shard, and shard
-winners merge by the order of readings first, then by distance. Class words are always those of the whole list.
+Every distinct text is read once into comparison keys (in order of preference), and every distinct key is looked up once. The
+reference list becomes BK-trees under Levenshtein distance, one per guard (numbers and one-letter prefix, which must agree for a
+hit). An equal key wins outright, otherwise the tree returns *every* entry within twice the threshold (a swap of neighbours costs
+2 there), the triangle inequality cuts branches, and the hits are ranked by unrestricted Damerau-Levenshtein distance. The list
+is sent to the workers in shards of at most `SHARD_BYTES` of spellings, cut by comparison key, one after the other (a short list
+is one shard); shard winners merge by distance, then texts take their first reading that hits. Class words are always those of
+the whole list. Keys of up to five letters are abbreviations: they match only as they stand (`labtext.is_code`).
 
 Cases: null texts give no row; empty texts, texts of specimen or unit words only, ratios and sums, and values whose nearest
 entries tie between different targets map to `(none)`; repeated rows give one row; texts of any length are read whole
@@ -16,7 +17,7 @@ everything to `(none)`; other columns of the inputs are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -27,8 +28,7 @@ from ..session import materialise
 
 NONE = "(none)"
 THRESHOLD = 1
-BROADCAST_ENTRIES = 200_000
-SHARD_ENTRIES = 50_000
+SHARD_BYTES = 8 << 20
 
 
 class BKTree:
@@ -72,72 +72,77 @@ def entry_core(spelling: str, kind: str) -> str:
     return labtext.parse_disease(spelling)[0] if kind == "disease" else spelling
 
 
+def guard(core: str) -> str:
+    numbers, prefix = labtext.guard(core)
+    return "|".join(numbers) + "#" + prefix
+
+
+class Reader:
+    """Typed texts to comparison keys. `words`: the class words of the whole list."""
+
+    def __init__(self, kind: str, words: dict[str, str]):
+        self.kind, self.words = kind, words
+
+    def keys(self, text: str) -> list[tuple[str, str]]:
+        """(key, guard) of the readings of a text in order of preference; an identifier given in it comes last, as `=id`."""
+        if self.kind == "disease":
+            core, omim = labtext.parse_disease(text)
+            return [(labtext.key(core), guard(core)), *([(f"=OMIM:{omim}", "")] if omim else [])]
+        p = labtext.parse_analyte(text)
+        if p.composite:
+            return []
+        cores = [labtext.expand(x, self.words) for x in (p.core, *p.inner)]
+        return [(labtext.key(c), guard(c)) for c in cores]
+
+
 class Mapper:
     """One shard of a reference list, ready to answer. `entries`: (spelling, target) pairs."""
 
     def __init__(self, entries: list[tuple[str, str]], kind: str, threshold: int = THRESHOLD, words: dict[str, str] | None = None):
-        self.kind, self.threshold = kind, threshold
+        self.threshold = threshold
         if words is None:  # else those of the whole list
             words = labtext.class_words([s for s, _ in entries]) if kind == "analyte" else {}
-        self.words = words
+        self.reader = Reader(kind, words)
         self.targets: dict[str, set[str]] = {}
-        self.guards: dict[str, set[tuple]] = {}
-        self.listed = {t for _, t in entries}
+        guards: dict[str, set[str]] = {}
         for spelling, target in entries:
             core = entry_core(spelling, kind)
-            k = labtext.key(core)
-            if k:
+            self.targets.setdefault(f"={target}", set()).add(target)
+            if k := labtext.key(core):
                 self.targets.setdefault(k, set()).add(target)
-                self.guards.setdefault(k, set()).add(labtext.guard(core))
-        self.longest = max(map(len, self.targets), default=0)
-        self.tree = BKTree(sorted(self.targets))
+                guards.setdefault(guard(core), set()).add(k)
+        self.trees = {g: BKTree(sorted(ks)) for g, ks in guards.items()}
+        self.longest = max((len(k) for k in self.targets if not k.startswith("=")), default=0)
 
-    def cores(self, text: str) -> tuple[list[str], str | None]:
-        """Readings of a typed text in order of preference, and an identifier given in it."""
-        if self.kind == "disease":
-            core, omim = labtext.parse_disease(text)
-            return [core], f"OMIM:{omim}" if omim else None
-        p = labtext.parse_analyte(text)
-        if p.composite:
-            return [], None
-        return [labtext.expand(p.core, self.words), *(labtext.expand(x, self.words) for x in p.inner)], None
+    def near(self, k: str, g: str) -> list[tuple[int, str]]:
+        """All targets at the smallest distance within the threshold, as (distance, target)."""
+        if k in self.targets:
+            return [(0, t) for t in sorted(self.targets[k])]
+        if not k or k.startswith("=") or labtext.is_code(k) or len(k) > self.longest + self.threshold or g not in self.trees:
+            return []
+        hits = [(d, t) for _, e in self.trees[g].search(k, 2 * self.threshold) if not labtext.is_code(e) and (d := damerau(k, e)) <= self.threshold for t in self.targets[e]]
+        least = min(hits, default=(0,))[0]
+        return sorted({h for h in hits if h[0] == least})
 
     def best(self, text: str) -> list[tuple[int, str]]:
-        """All targets at the smallest distance within the threshold, as (distance, target)."""
-        return [(d, t) for _, d, t in self.ranked(text)]
-
-    def ranked(self, text: str) -> list[tuple[int, int, str]]:
-        """`best` with the rank of the reading that hit, as (rank, distance, target)."""
-        cores, given = self.cores(text)
-        for rank, core in enumerate(cores):
-            k = labtext.key(core)
-            if k in self.targets:
-                return [(rank, 0, t) for t in sorted(self.targets[k])]
-            if not k or labtext.is_code(k) or len(k) > self.longest + self.threshold:
-                continue
-            g, hits = labtext.guard(core), []
-            for _, e in self.tree.search(k, 2 * self.threshold):
-                if g in self.guards[e] and not labtext.is_code(e) and (d := damerau(k, e)) <= self.threshold:
-                    hits += [(d, t) for t in self.targets[e]]
-            if hits:
-                least = min(hits)[0]
-                return sorted({(rank, d, t) for d, t in hits if d == least})
-        return [(len(cores), 0, given)] if given and given in self.listed else []
-
-
-def _batches(entries: list[tuple[str, str]], kind: str, threshold: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        """The hits of the first reading that has any."""
+        return next((hits for k, g in self.reader.keys(text) if (hits := self.near(k, g))), [])
+
+
+def _read(kind: str, words: dict[str, str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mapper = Mapper(entries, kind, threshold)
+        reader = Reader(kind, words)
+        for pdf in it:
+            yield pd.DataFrame([(t, rank, *k) for t in pdf["text"] for rank, k in enumerate(reader.keys(t)) if k[0]], columns=["text", "reading", "key", "guard"]).astype({"reading": "int32"})
+
+    return run
 
-        @lru_cache(maxsize=200_000)
-        def one(text: str) -> tuple[str, int]:
-            hits = mapper.best(text)
-            return (hits[0][1], hits[0][0]) if len(hits) == 1 else (NONE, -1)
 
+def _look_up(entries: list[tuple[str, str]], kind: str, threshold: int, words: dict[str, str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mapper = Mapper(entries, kind, threshold, words)
         for pdf in it:
-            codes, uniques = pd.factorize(pdf["text"])
-            answers = [one(x) for x in uniques]
-            yield pd.DataFrame({"row_key": pdf["row_key"], "text": pdf["text"], "entry": [answers[c][0] for c in codes], "distance": pd.array([answers[c][1] for c in codes], dtype="int32")})
+            yield pd.DataFrame([(k, g, d, t) for k, g in zip(pdf["key"], pdf["guard"], strict=True) for d, t in mapper.near(k, g)], columns=["key", "guard", "distance", "entry"]).astype({"distance": "int32"})
 
     return run
 
@@ -159,39 +164,33 @@ def _class_words(keyed: DataFrame) -> dict[str, str]:
     return {r.begin: r.word for r in begun.join(ends, F.col("begin") == F.col("end_word"), "left_anti").select("begin", "word").collect()}
 
 
-def _shard_batches(kind: str, threshold: int, words: dict[str, str]):
-    """applyInPandas over one shard's entries and one block of distinct values: all hits of the shard."""
-
-    def run(_key, values: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        mapper = Mapper(list(zip(entries["spelling"], entries["target"], strict=True)), kind, threshold, words)
-        out = [(t, *hit) for t in values["text"] for hit in mapper.ranked(t)]
-        return pd.DataFrame(out, columns=["text", "reading", "distance", "entry"])
-
-    return run
+def _shards(entries: DataFrame, kind: str, shard_bytes: int) -> tuple[int, Callable[[int], list[tuple[str, str]]], dict[str, str]]:
+    """(number of shards, the pairs of one, class words of the whole list)."""
+    size = entries.agg(F.sum(F.octet_length("spelling") + F.octet_length("target"))).first()[0] or 0
+    if size <= shard_bytes:
+        pairs = sorted((r[0], r[1]) for r in entries.collect())
+        return 1, lambda _: pairs, labtext.class_words([s for s, _ in pairs]) if kind == "analyte" else {}
+    n = -(-size // shard_bytes)
+    keyed = materialise(entries.mapInPandas(_entry_keys(kind), "spelling string, target string, key string, end_word string"), "entries")
+    # By key: spellings of one key share their targets and guards.
+    pairs = lambda i: sorted((r[0], r[1]) for r in keyed.where(F.pmod(F.xxhash64("key"), F.lit(n)) == i).select("spelling", "target").collect())
+    return n, pairs, _class_words(keyed) if kind == "analyte" else {}
 
 
-def map_to_list(values: DataFrame, entries: DataFrame, kind: str = "analyte", threshold: int = THRESHOLD, broadcast_entries: int = BROADCAST_ENTRIES, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
+def map_to_list(values: DataFrame, entries: DataFrame, kind: str = "analyte", threshold: int = THRESHOLD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """`values(row_key, text)` against `entries(spelling, target)` → `(row_key, text, entry, distance)`.
 
-    `distance` is -1 where nothing matched. The count of the list decides between broadcast and shards.
+    `distance` is -1 where nothing matched.
     """
     values = values.select(F.col("row_key").cast("string").alias("row_key"), "text").where(F.col("text").isNotNull())
-    entries = entries.select("spelling", "target").where("spelling is not null and target is not null").distinct()
-    n = entries.count()
-    if n <= broadcast_entries:
-        pairs = sorted((r[0], r[1]) for r in entries.collect())
-        return values.mapInPandas(_batches(pairs, kind, threshold), "row_key string, text string, entry string, distance int")
-    shards = -(-n // shard_entries)
-    blocks = 64
-    distinct = values.select("text").distinct().withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)).cast("int"))
-    left = distinct.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keyed = materialise(entries.mapInPandas(_entry_keys(kind), "spelling string, target string, key string, end_word string"), "entries")
-    words = _class_words(keyed) if kind == "analyte" else {}
-    # By key: spellings of one key share their targets and guards.
-    right = keyed.select("spelling", "target", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    hits = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(_shard_batches(kind, threshold, words), "text string, reading int, distance int, entry string")
-    best = hits.groupBy("text").agg(F.min(F.struct("reading", "distance")).alias("least"), F.collect_set(F.struct("reading", "distance", "entry")).alias("hits"))
-    best = best.withColumn("hits", F.expr("filter(hits, h -> h.reading = least.reading and h.distance = least.distance)")).where("size(hits) = 1").select("text", F.col("hits")[0]["entry"].alias("entry"), F.col("least.distance").alias("distance"))
+    shards, pairs, words = _shards(entries.select("spelling", "target").where("spelling is not null and target is not null").distinct(), kind, shard_bytes)
+    readings = materialise(values.select("text").distinct().mapInPandas(_read(kind, words), "text string, reading int, key string, guard string"), "readings")
+    keys = readings.select("key", "guard").distinct()
+    hits = reduce(DataFrame.unionByName, (keys.mapInPandas(_look_up(pairs(i), kind, threshold, words), "key string, guard string, distance int, entry string") for i in range(shards)))
+    near = hits.groupBy("key", "guard").agg(F.min("distance").alias("distance"), F.collect_set(F.struct("distance", "entry")).alias("hits"))
+    near = near.select("key", "guard", "distance", F.expr("array_distinct(transform(filter(hits, h -> h.distance = distance), h -> h.entry))").alias("entries"))
+    first = readings.join(near, ["key", "guard"]).groupBy("text").agg(F.min_by(F.struct("distance", "entries"), "reading").alias("b"))
+    best = first.where("size(b.entries) = 1").select("text", F.col("b.entries")[0].alias("entry"), F.col("b.distance").alias("distance"))
     return values.join(best, "text", "left").select("row_key", "text", F.coalesce("entry", F.lit(NONE)).alias("entry"), F.coalesce("distance", F.lit(-1)).alias("distance"))
 
 

@@ -29,14 +29,14 @@ def test_bk_tree_returns_every_entry_within_the_radius():
 ENTRIES = [("2-hydroxytestonic acid", "A"), ("L-fooline", "B"), ("fooline", "B"), ("TSA", "C"), ("X-binding protein", "D")]
 
 
-@pytest.mark.parametrize("broadcast", [100, 1])
-def test_mapping_broadcast_and_sharded(spark, broadcast):
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 40])
+def test_mapping_broadcast_and_sharded(spark, shard_bytes):
     texts = ["2-hydroxytestonic acid", "2-hydroxytestnoic acid", "3-hydroxytestonic acid", "plasma Fooline (mg/dL)", "D-fooline", "TSA", "TSB", "L-fooline/TSA ratio", "", "  ", None, "X-BP", "x" * 5000, "TSA"]
     v = spark.createDataFrame(list(enumerate(texts)), "row_key int, text string").withColumn("entry", F.lit("clash"))
     e = spark.createDataFrame([*ENTRIES, (None, "Z"), ENTRIES[0]], "spelling string, target string")
-    got = {int(r.row_key): r.entry for r in canon_map.map_to_list(v, e, broadcast_entries=broadcast, shard_entries=2).collect()}
+    got = {int(r.row_key): r.entry for r in canon_map.map_to_list(v, e, shard_bytes=shard_bytes).collect()}
     none = canon_map.NONE
-    assert got == {0: "A", 1: "A", 2: none, 3: "B", 4: none, 5: "C", 6: none, 7: none, 8: none, 9: none, 11: "D" if broadcast == 100 else got[11], 12: none, 13: "C"}
+    assert got == {0: "A", 1: "A", 2: none, 3: "B", 4: none, 5: "C", 6: none, 7: none, 8: none, 9: none, 11: "D", 12: none, 13: "C"}
     assert canon_map.map_to_list(v.where("false"), e).count() == 0
     assert {r.entry for r in canon_map.map_to_list(v, e.where("false")).collect()} == {none}
 
@@ -47,7 +47,7 @@ def test_shards_give_the_answers_of_the_whole_list(spark):
     entries += [("Lbaronine", "E"), ("L-baronine", "F"), ("quorzine", "G"), ("trellate", "H")]
     texts = ["X-BP", "gromunol dehydrog.", "feltanol trans", "gromunol reduct", "gromunnol red", "L-baronin", "quorzin (trellate)", "quorzine [TSA]", "quorzzine (fooline)", "fooline (quorzine)", "TSA (quorzine)", "nothing at all"]
     v, e = spark.createDataFrame(list(enumerate(texts)), "row_key int, text string"), spark.createDataFrame(entries, "spelling string, target string")
-    whole, *cut = ({texts[int(r.row_key)]: (r.entry, r.distance) for r in canon_map.map_to_list(v, e, broadcast_entries=n, shard_entries=k).collect()} for n, k in ((100, 2), (1, 2), (1, 7)))
+    whole, *cut = ({texts[int(r.row_key)]: (r.entry, r.distance) for r in canon_map.map_to_list(v, e, shard_bytes=n).collect()} for n in (1 << 20, 300, 60))
     assert cut == [whole, whole]
     assert whole["X-BP"] == ("D", 0) and whole["quorzin (trellate)"] == ("G", 1) and whole["feltanol trans"] == ("feltanol-transferase", 0)
 
@@ -333,3 +333,11 @@ def test_sums_hold_few_matrices_at_a_time(spark):
     part = lambda block: np.array([[len(block), block["id"].sum()]], dtype=np.float32)
     assert subjects._summed(rows, part, (1, 2)).tolist() == [[4000.0, 4000 * 3999 / 2]]
     assert subjects._summed(rows.where("false"), part, (1, 2)).tolist() == [[0.0, 0.0]]
+
+
+def test_shards_of_the_given_lists_agree_row_by_row(spark):
+    d = "/root/testdata/sf0.01"
+    for table, field, entries, kind in (("measurements", "analyte_text", canon_map.analyte_entries(spark.read.parquet(f"{d}/analytes_builtin.parquet")), "analyte"), ("diagnoses", "disease_text", canon_map.disease_entries(spark.read.parquet(f"{d}/disease_aliases.parquet")), "disease")):
+        v = spark.read.parquet(f"{d}/{table}.parquet").select(F.col("fact_id").alias("row_key"), F.col(field).alias("text")).distinct()
+        whole, cut = ({tuple(r) for r in canon_map.map_to_list(v, entries, kind, shard_bytes=n).collect()} for n in (1 << 20, 1500))
+        assert whole == cut and len(whole) == v.where("text is not null").count()
