@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.lookalike import fold, unify
+from ..session import materialise
 
 
 @F.pandas_udf(T.StructType([T.StructField("mapped", T.StringType()), T.StructField("folded", T.BooleanType())]))
@@ -37,7 +38,7 @@ def unify_texts(rows: DataFrame) -> DataFrame:
     # Printable ASCII maps to itself: such rows never enter a Python worker.
     plain = rows.where(~F.col("text").rlike(r"[^\x00-\x7e]")).withColumns({"mapped": F.col("text"), "folded": F.lit(False)})
     other = rows.where(F.col("text").rlike(r"[^\x00-\x7e]")).withColumn("m", _map("text")).select("field", "row_key", "text", "m.mapped", "m.folded")
-    both = plain.unionByName(other)
+    both = materialise(plain.unionByName(other), "mapped")  # read by the classes and by the join
     classes = spark.sql(
         """
         SELECT field, mapped COLLATE UNICODE AS class_key,
