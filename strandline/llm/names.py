@@ -8,7 +8,8 @@ comparing all pairs; in short names a typo counts as less likely. log prior + lo
 each variant goes to its maximum, and candidates that themselves are variants pass their members on, along chains of any length.
 
 Cases: null arrays, null and empty names give nothing; groups of people ("et al.", study groups) are no persons; names without
-a readable family name or kind of institution link to nothing but exact repeats; ties go to the smaller candidate; repeated
+a readable family name are their own reading (letters only), so they meet what differs in case, accents and punctuation or by one
+typo, and no name is left out; institutions of no listed kind are read by all their words; ties go to the smaller candidate; repeated
 names count as frequency; extra columns are ignored; names of any length are read whole.
 """
 
@@ -48,7 +49,6 @@ DEGREES = ("MD", "MSc", "MPH", "DPhil", "BSc", "MA", "MS", "MBBS", "FRCP", "RN",
 _GROUP = re.compile(r"\bet al\b|\bgroup\b|\bconsorti|\bcollaborat|\binvestigators\b|\bnetwork\b|\bteam\b|\bcommittee\b|\bsociety\b|\bon behalf\b|\bstudy\b|\bothers\b|\bregistry\b", re.I)
 # Degrees that could be initials count only behind a comma.
 _TITLE = re.compile(rf"(?:^|(?<=[\s,]))(?:{'|'.join(map(re.escape, TITLES))})\.?(?=$|[\s,])|(?<=,)\s*(?:{'|'.join(DEGREES)})\.?(?=$|,)")
-_INITIALS = re.compile(r"^(?:[A-ZÀ-Þ]\.?[\s-]?){1,4}$")
 
 
 def plain(text: str) -> str:
@@ -156,7 +156,18 @@ def read_affiliation(name: str) -> list[tuple[str, str, str, float]]:
     return []
 
 
-_READ = {"author": read_author, "affiliation": read_affiliation}
+def read_whole(name: str) -> list[tuple[str, str, str, float]]:
+    """The reading of a name that no pattern reads: all its letters (an address' departments aside), or the text itself."""
+    t = strip_accents(fold(name)).lower()
+    kept = [s for s in (x.strip(" .;") for x in t.split(",")) if s and not _UNIT.match(s)] or [t]
+    letters = re.sub(r"[\W_]+", "", kept[0])
+    return [(letters or name, "whole", "", 1.0)]
+
+
+_READ = {
+    "author": lambda name: read_author(name) or ([] if _GROUP.search(name) else read_whole(name)),
+    "affiliation": lambda name: read_affiliation(name) or read_whole(name),
+}
 _SCHEMA = "kind string, name string, n bigint, fuzzy string, first string, rest string, weight double"
 
 

@@ -93,6 +93,15 @@ def test_spellings_of_people_and_institutions(spark):
     assert names.found(d.where("false")).count() == 0
 
 
+def test_every_name_has_an_entity(spark):
+    inst = ["Max Planck Society, Munich", "MAX PLANCK SOCIETY, Munich", "Imperial College London", "Boston Medical Center, Boston", "Testburg University Hospital", "Acme Corp.", "株式会社", "!!"]
+    authors = ["Madonna", "MADONNA", "Hansenson B", "The Test Study Group", "et al."]
+    d = spark.createDataFrame([(authors, inst)], "authors array<string>, affiliations array<string>")
+    got = {(r.kind, r.name): r.entity_key for r in names.attribute(names.spellings(d)).collect()}
+    assert set(got) == {("affiliation", x) for x in inst} | {("author", x) for x in authors[:3]}
+    assert {tuple(r) for r in names.found(d).collect()} == {("affiliation", inst[1], inst[0]), ("author", "MADONNA", "Madonna")}
+
+
 def test_chains_of_variants_end_in_one_entity(spark):
     base = "Mandroviteks"
     chain = [base[:1] + "q" * i + base[1 + i :] + " KG" for i in range(8)]
