@@ -130,3 +130,19 @@ def search_query(mesh: Column, terms: Column, genes: Column, case_reports: bool
 def age_label(age: Column) -> Column:
     """`P2Y / 2 years`, whichever parts are given; empty without any."""
     return F.concat_ws(" / ", truthy(age["iso8601"]), truthy(age["text"]))
+
+
+def mark(status: Column) -> Column:
+    """How a sheet marks where a quote was found: at its anchor, elsewhere in the document, nowhere; nothing if unchecked."""
+    return F.when(status == "in anchor", "✓").when(status == "in document", "~").when(status == "NOT FOUND", "✗").otherwise("")
+
+
+def quantity(comparator: Column, number: Column, unit: Column) -> Column:
+    """`<5 mmol/L`, whichever parts are given; empty without a number."""
+    return F.coalesce(F.concat(F.coalesce(comparator, F.lit("")), number, F.coalesce(F.concat(F.lit(" "), truthy(unit)), F.lit(""))), F.lit(""))
+
+
+def decoded(c: Column) -> Column:
+    """JSON text as `(value variant, raw)`: what does not parse is kept as `raw`."""
+    v = F.try_parse_json(c)
+    return F.struct(v.alias("value"), F.when(v.isNull(), c).alias("raw"))

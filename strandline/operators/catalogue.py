@@ -105,3 +105,33 @@ def pages(rows: DataFrame, order: list[Column], size: int, by: list[str]) -> Dat
 
     w = Window.partitionBy(*by).orderBy(*order)
     return rows.withColumn("page", F.floor((F.row_number().over(w) - 1) / size))
+
+
+# -- runs and schemas ------------------------------------------------------------------------------------------------
+RUNS = "run_id string, command string, args string, version string, started_at double, finished_at double, summary string"
+#: The catalogue's tables: columns and keys. There are no secondary indexes: tables are pruned by partition and statistics.
+SCHEMAS = {
+    "documents": ("pmid string, pmcid string, doi string, title string, abstract string, journal string, journal_iso string, issn string, pub_year int, pub_date string, language string, pub_types array<string>, keywords array<string>, authors array<string>, affiliations array<string>, corpus_layer string, is_open_access int, license string, in_epmc int, has_suppl int, fulltext_tier string, fulltext_path string, edat string, added_at double, updated_at double", ("pmid",)),
+    "retrieval": ("pmid string, tier string, ok int, path string, status string, attempted_at double", ("pmid", "tier")),
+    "triage": ("pmid string, in_scope int, n_individuals int, individual_ids array<string>, is_rereport int, document_type string, reasons string, model string, prompt_version string, decided_at double", ("pmid",)),
+    "links": ("record_a string, record_b string, relation string, evidence string, score double", ("record_a", "record_b", "relation")),
+    "document_sets": ("pmid string, set_name string, source string, added_at double", ("pmid", "set_name")),
+    "runs": (RUNS, ("run_id",)),
+}
+
+
+def migrated(table: DataFrame, name: str) -> DataFrame:
+    """A stored table in today's schema: columns it lacks come as nulls, in declared order; its further columns stay behind."""
+    declared = table.sparkSession.createDataFrame([], SCHEMAS[name][0]).schema
+    own = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in table.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in declared]
+    return table.select(*own, *[c for c in table.columns if c not in declared.names])
+
+
+def start_runs(runs: DataFrame) -> DataFrame:
+    """New run rows: no end yet."""
+    return runs.select("run_id", "command", "args", "version", "started_at", F.lit(None).cast("double").alias("finished_at"), F.lit(None).cast("string").alias("summary"))
+
+
+def finish_runs(runs: DataFrame, ended: DataFrame) -> DataFrame:
+    """Ends and summaries put in; a run that failed is not among `ended` and keeps no end."""
+    return merge(runs, ended, "run_id").select(*runs.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import age_label, truthy
+from .phenopacket import with_added
 
 GROUPS = ("subject", "family", "phenotype", "measurement", "genetic_finding", "diagnosis", "treatment", "outcome")
 _FACT = ["item", "detail", "grounded", "quote", "anchor", "verification"]
@@ -125,37 +126,84 @@ def _evidence_columns() -> list[Column]:
     return [ev["quote"].alias("quote"), ev["anchor"].alias("anchor"), ev["verification"]["in_anchor"].alias("quote_in_anchor"), ev["verification"]["in_document"].alias("quote_in_document")]
 
 
-def export_tables(records: DataFrame, documents: DataFrame, links: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The flat columnar tables of the export, each with its declared columns (empty ones too)."""
+ENZYMES = "enzyme_text string, gene_symbol string, ec_number string, tissue string, value double, unit string, percent_of_control double, reference_text string, interpretation string"
+
+
+def export_tables(records: DataFrame, documents: DataFrame, links: DataFrame | None = None, narratives: DataFrame | None = None, verified: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The ten flat columnar tables of the export, each with its declared columns (empty ones too).
+
+    `records` grounded or not (what grounding adds is null then), `narratives(record_id, source, passages
+    array<struct<anchor,text,chars>>)` and `verified(record_id, total, in_anchor, in_document)`; without them their columns are null.
+    """
+    records = with_added(records)
     s, r = F.col("record.subject"), F.col("record")
     fd = final_diagnosis(r["diagnoses"])
-    at = lambda field, *cols: records.select("record_id", "pmid", F.explode(f"record.{field}").alias("x")).where("x is not null").select("record_id", "pmid", *[F.col(f"x.{c}").alias(c.split(".")[-1]) if isinstance(c, str) else c for c in cols])
+    spark = records.sparkSession
+
+    def at(field: str, *cols: str | Column) -> DataFrame:
+        x = records.select("record_id", "pmid", F.explode(f"record.{field}").alias("x")).where("x is not null")
+        return x.select("record_id", "pmid", *[F.col(f"x.{c}").alias(c.split(".")[-1]) if isinstance(c, str) else c for c in cols])
+
     status = F.col("x.grounding.status").alias("grounding")
+    if narratives is None:
+        narratives = spark.createDataFrame([], "record_id string, source string, passages array<struct<anchor:string,text:string,chars:int>>")
+    if verified is None:
+        verified = spark.createDataFrame([], "record_id string, total bigint, in_anchor bigint, in_document bigint")
+    narratives = narratives.select("record_id", "source", "passages")
+    told = narratives.select("record_id", F.aggregate("passages", F.lit(0).cast("bigint"), lambda n, u: n + F.coalesce(u["chars"], F.lit(0))).alias("narrative_chars"), _n(F.col("passages")).alias("narrative_units"), F.col("source").alias("narrative_source"))
+    quotes = verified.select("record_id", *[F.col(c).alias(f"quotes_{c}") for c in ("total", "in_anchor", "in_document")])
+    people = records.join(told, "record_id", "left").join(quotes, "record_id", "left")
+    enzymes = [c.split()[0] for c in ENZYMES.split(", ")]
+    if "enzyme_activities" in records.schema["record"].dataType.names:
+        enzyme_table = at("enzyme_activities", *enzymes, F.col("x.evidence.quote").alias("quote"), F.col("x.evidence.anchor").alias("anchor"))
+    else:
+        enzyme_table = spark.createDataFrame([], f"record_id string, pmid string, {ENZYMES}, quote string, anchor string")
     tables = {
         "documents": documents.drop("abstract", "text"),
-        "individuals": records.select(
+        "individuals": people.select(
             "record_id", "pmid", "local_id", "valid", "confidence", s["sex"].alias("sex"), *[s[a]["iso8601"].alias(a) for a in ("age_at_onset", "age_at_presentation", "age_at_last_followup")], s["vital_status"].alias("vital_status"), r["family"]["consanguinity"].alias("consanguinity"),
-            s["ancestry_as_stated"].alias("ancestry"), s["country_of_care"].alias("country"), fd["disease_text"].alias("final_diagnosis"), fd["confidence_tier"].alias("confidence_tier"),
+            s["ancestry_as_stated"].alias("ancestry"), s["country_of_care"].alias("country"), fd["disease_text"].alias("final_diagnosis"), fd["disease"]["mondo"].alias("final_diagnosis_mondo"), fd["disease"]["omim"].alias("final_diagnosis_omim"), fd["confidence_tier"].alias("confidence_tier"),
             _n(r["phenotypes"]).alias("n_phenotypes"), _n(r["measurements"]).alias("n_measurements"), _n(r["genetic_findings"]).alias("n_variants"), r["clinical_summary"].alias("clinical_summary"), "model", "prompt_version",
+            F.coalesce("narrative_chars", F.lit(0)).alias("narrative_chars"), F.coalesce("narrative_units", F.lit(0)).alias("narrative_units"), "narrative_source", "quotes_total", "quotes_in_anchor", "quotes_in_document",
         ),
+        "narratives": narratives.join(records.select("record_id", "pmid"), "record_id").select("record_id", "pmid", "source", F.posexplode("passages").alias("order", "u")).select("record_id", "pmid", F.col("order").cast("bigint").alias("order"), "u.anchor", "u.chars", "source", "u.text"),
         "phenotypes": at("phenotypes", "text", "hpo_id", "hpo_label", "excluded", F.col("x.onset.iso8601").alias("onset"), "modifier", status, *_evidence_columns()),
-        "measurements": at("measurements", "analyte_text", "specimen", "value", "value_text", "unit", "unit_ucum", F.col("x.reference_range.low").alias("ref_low"), F.col("x.reference_range.high").alias("ref_high"), F.col("x.reference_range.text").alias("ref_text"), "interpretation", "timing", "condition", F.col("x.age.iso8601").alias("age"), "panel", "method", status, *_evidence_columns()),
+        "measurements": at(
+            "measurements", "analyte_text", F.col("x.analyte.label").alias("analyte_label"), F.col("x.analyte.chebi").alias("chebi"), F.col("x.analyte.vmh").alias("vmh"), "specimen", "value", "value_text", "unit", "unit_ucum", F.col("x.reference_range.low").alias("ref_low"), F.col("x.reference_range.high").alias("ref_high"),
+            F.col("x.reference_range.text").alias("ref_text"), "interpretation", "timing", "condition", F.col("x.age.iso8601").alias("age"), "panel", "method", status, *_evidence_columns(),
+        ),
+        "enzyme_activities": enzyme_table,
         "genetic_findings": at("genetic_findings", "gene_symbol", "hgnc_id", "variant_hgvs_c", "variant_hgvs_p", "variant_hgvs_g", "transcript", "variant_text", "zygosity", "inheritance_as_stated", "classification_as_reported", "method", "novel", status, *_evidence_columns()),
-        "diagnoses": at("diagnoses", "disease_text", "status", "confidence_tier", "diagnostic_route", F.col("x.age_at_diagnosis.iso8601").alias("age_at_diagnosis"), "time_to_diagnosis_text", F.coalesce(F.array_join("x.prior_misdiagnoses", "|", ""), F.lit("")).alias("prior_misdiagnoses"), status, *_evidence_columns()),
+        "diagnoses": at(
+            "diagnoses", "disease_text", *[F.col(f"x.disease.{c}").alias(c) for c in ("label", "mondo", "omim", "orphanet")], "status", "confidence_tier", "diagnostic_route", F.col("x.age_at_diagnosis.iso8601").alias("age_at_diagnosis"), "time_to_diagnosis_text",
+            F.coalesce(F.array_join("x.prior_misdiagnoses", "|", ""), F.lit("")).alias("prior_misdiagnoses"), status, *_evidence_columns(),
+        ),
         "treatments": at("treatments", "text", "type", "agent", "response", "response_text", F.col("x.evidence.quote").alias("quote"), F.col("x.evidence.anchor").alias("anchor")),
+        "links": links if links is not None else spark.createDataFrame([], "record_a string, record_b string, relation string, evidence string, score double"),
     }
-    if links is not None:
-        tables["links"] = links
     return tables
 
 
-def export_all(records: DataFrame, documents: DataFrame, path: str, links: DataFrame | None = None, fmt: str = "both") -> list[str]:
-    """Write every table as Parquet and/or CSV (arrays as JSON text in CSV); returns the names."""
-    tables = export_tables(records, documents, links)
-    for name, df in tables.items():
+def escaped_json(c: Column) -> Column:
+    """JSON text in ASCII: other characters as \\uXXXX, those beyond the basic plane as two."""
+    j = F.to_json(c)
+
+    def one(x: Column) -> Column:
+        utf16 = F.hex(F.encode(x, "UTF-16BE"))
+        pair = F.concat(F.lit("\\u"), F.lower(F.substring(utf16, 1, 4)), F.when(F.length(utf16) > 4, F.concat(F.lit("\\u"), F.lower(F.substring(utf16, 5, 4)))).otherwise(F.lit("")))
+        return F.when(F.length(F.encode(x, "UTF-8")) > 1, pair).otherwise(x)
+
+    return F.when(j.rlike(r"[^\x00-\x7f]"), F.array_join(F.transform(F.split(j, ""), one), "")).otherwise(j)
+
+
+def export_all(records: DataFrame, documents: DataFrame, path: str, links: DataFrame | None = None, fmt: str = "both", **kw: DataFrame) -> dict[str, int]:
+    """Write every table as Parquet and/or CSV (arrays as JSON text in CSV); returns the rows of each."""
+    counts = {}
+    for name, df in export_tables(records, documents, links, **kw).items():
         if fmt in ("parquet", "both"):
             df.write.mode("overwrite").parquet(f"{path}/{name}.parquet")
         if fmt in ("csv", "both"):
-            flat = df.select(*[F.to_json(c).alias(c) if k.startswith(("array", "struct", "map")) else F.col(c) for c, k in df.dtypes])
+            flat = df.select(*[escaped_json(F.col(c)).alias(c) if k.startswith(("array", "struct", "map")) else F.col(c) for c, k in df.dtypes])
             flat.write.mode("overwrite").option("header", True).csv(f"{path}/{name}.csv")
-    return list(tables)
+        counts[name] = df.sparkSession.read.parquet(f"{path}/{name}.parquet").count() if fmt != "csv" else df.count()
+    return counts

@@ -137,3 +137,20 @@ def assign(records: DataFrame, reviewers: list[str], batch_size: int, double_fra
         return first
     second = x.where(F.col("j") < half_even(F.col("size") * double_fraction)).select("record_id", names[(F.col("who") + 1) % n].alias("reviewer"), "batch", F.lit("second").alias("role"))
     return first.unionByName(second)
+
+
+SHEET = ("set", "pmid", "pub_year", "year_band", "fulltext_expected", "fulltext_tier", "kind", "pmcid", "doi", "journal", "title", "other_sets")
+
+
+def sheet(sample: DataFrame, sets: DataFrame, documents: DataFrame) -> DataFrame:
+    """The sample table: `sample(set_name, pmid, ft, band, kind)`, all `sets(pmid, set_name)`, catalogue rows of the papers."""
+    other = sets.groupBy("pmid").agg(F.array_sort(F.collect_set("set_name")).alias("_sets"))
+    x = sample.join(other, "pmid", "left").join(documents.select("pmid", "pub_year", "fulltext_tier", "pmcid", "doi", "journal", "title"), "pmid", "left")
+    x = x.withColumns({"set": F.col("set_name"), "year_band": F.col("band"), "fulltext_expected": F.when(F.col("ft"), "yes").otherwise("no"), "other_sets": F.coalesce(F.array_join(F.array_remove("_sets", F.col("set_name")), "|"), F.lit(""))})
+    return x.select(*SHEET)
+
+
+def register(sets: DataFrame, sample: DataFrame, name: str) -> DataFrame:
+    """The sets with the sample as set `name` in place of its former rows; its source says where each document came from."""
+    new = sample.select("pmid", F.lit(name).alias("set_name"), F.to_json(F.struct(F.col("set_name").alias("from"), "kind", "band")).alias("source")).dropDuplicates(["pmid"])
+    return sets.where(F.col("set_name") != name).unionByName(new, allowMissingColumns=True)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import catalogue, documents, intake, problems, records
+from . import catalogue, documents, flow, intake, outputs, problems, records
 
-QUERIES: dict = documents.QUERIES | catalogue.QUERIES | records.QUERIES | intake.QUERIES | problems.QUERIES
-SQL: dict = documents.SQL | catalogue.SQL | records.SQL | intake.SQL | problems.SQL
+_MODULES = (documents, catalogue, records, intake, problems, flow, outputs)
+QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+SQL: dict = {k: v for m in _MODULES for k, v in m.SQL.items()}

@@ -100,29 +100,16 @@ def final_diagnosis(spark: SparkSession, d: str) -> DataFrame:
     return x.select("record_id", F.col("f.disease_text").alias("disease_text"), F.col("f.confidence_tier").alias("confidence_tier"))
 
 
-def _export(name: str):
-    def q(spark: SparkSession, d: str) -> DataFrame:
-        return facts.export_tables(_recs(spark, d), t(spark, d, "documents"))[name]
-
-    q.__name__ = f"export_{name}"
-    return q
-
-
-def export_documents(spark: SparkSession, d: str) -> DataFrame:
-    x = facts.export_tables(_recs(spark, d), t(spark, d, "documents"))["documents"]
-    return x.select("doc_id", "pmid", "journal", "pub_year", F.array_join("pub_types", "|").alias("pub_types"), F.array_join("keywords", "|").alias("keywords"), F.array_join("authors", "|").alias("authors"), "corpus_layer", "license", "n_chars")
-
-
 # -- phenopackets ----------------------------------------------------------------------------------------------------
 def phenopacket_digest(spark: SparkSession, d: str) -> DataFrame:
     """Scalar digest of every phenopacket that is built from a record."""
-    p = _recs(spark, d).select("record_id", phenopacket.phenopacket(F.col("record"), F.col("record_id"), F.col("pmid")).alias("p"))
+    p = phenopacket.with_added(_recs(spark, d)).select("record_id", phenopacket.phenopacket(F.col("record"), F.col("record_id"), F.col("pmid")).alias("p"))
     n = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("bigint")
     i = F.col("p.interpretations")[0]
     quantities = F.filter("p.measurements", lambda m: m["value"]["quantity"].isNotNull())
     return p.select(
         "record_id", F.col("p.subject.sex").alias("sex"), F.col("p.subject.timeAtLastEncounter.age.iso8601duration").alias("last_seen"), F.col("p.subject.vitalStatus.status").alias("vital_status"),
-        n(F.col("p.phenotypicFeatures")).alias("n_features"), n(F.col("p.measurements")).alias("n_measurements"), n(quantities).alias("n_quantities"), n(F.col("p.diseases")).alias("n_diseases"),
+        n(F.col("p.phenotypicFeatures")).alias("n_features"), n(F.col("p.measurements")).alias("n_measurements"), n(quantities).alias("n_quantities"), 
         i["progressStatus"].alias("progress"), n(i["diagnosis"]["genomicInterpretations"]).alias("n_variants"), n(F.col("p.medicalActions")).alias("n_actions"),
     )
 
@@ -134,7 +121,7 @@ def phenopacket_issues(spark: SparkSession, d: str) -> DataFrame:
 
 
 def phenopacket_texts(spark: SparkSession, d: str) -> DataFrame:
-    return _recs(spark, d).select("record_id", phenopacket.phenopacket_json(F.col("record"), F.col("record_id"), F.col("pmid")).alias("phenopacket"))
+    return phenopacket.with_added(_recs(spark, d)).select("record_id", phenopacket.phenopacket_json(F.col("record"), F.col("record_id"), F.col("pmid")).alias("phenopacket"))
 
 
 # -- review metrics --------------------------------------------------------------------------------------------------
@@ -209,7 +196,7 @@ def json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     entity_links, variant_keys, birth_years, age_days, doc_kinds, stratified_sample, sample_summary, assign_reviewers, validate_rules, record_confidence, facts_flatten, facts_measured, fact_counts, case_sheets, final_diagnosis,
-    *[_export(n) for n in ("individuals", "phenotypes", "measurements", "genetic_findings", "diagnoses", "treatments")], export_documents, phenopacket_digest, phenopacket_issues, phenopacket_texts,
+    phenopacket_digest, phenopacket_issues, phenopacket_texts,
     review_metrics, kappa, overview_percentiles, dense_year_axis, band_crosstab, patients_per_article, year_interpolation, topk_quality, json_roundtrip,
 )}
 
@@ -338,22 +325,15 @@ SQL = {
         UNION ALL SELECT 'subject', {_STATUS('a.evidence')} FROM (SELECT unnest([{_S}.age_at_onset, {_S}.age_at_presentation, {_S}.age_at_last_followup, {_S}.age_at_death]) AS a FROM one) WHERE coalesce(a.iso8601, '') <> '' OR coalesce(a.text, '') <> '')
         SELECT grp, verification, count(*) AS n FROM f GROUP BY grp, verification""",
     "final_diagnosis": f"WITH one AS {_ONE} SELECT record_id, {_FINAL}.disease_text AS disease_text, {_FINAL}.confidence_tier AS confidence_tier FROM one",
-    "export_individuals": f"WITH one AS {_ONE} SELECT record_id, pmid, local_id, valid, confidence, {_S}.sex AS sex, {_S}.age_at_onset.iso8601 AS age_at_onset, {_S}.age_at_presentation.iso8601 AS age_at_presentation, {_S}.age_at_last_followup.iso8601 AS age_at_last_followup, {_S}.vital_status AS vital_status, record.family.consanguinity AS consanguinity, {_S}.ancestry_as_stated AS ancestry, {_S}.country_of_care AS country, {_FINAL}.disease_text AS final_diagnosis, {_FINAL}.confidence_tier AS confidence_tier, coalesce(len(record.phenotypes), 0) AS n_phenotypes, coalesce(len(record.measurements), 0) AS n_measurements, coalesce(len(record.genetic_findings), 0) AS n_variants, record.clinical_summary AS clinical_summary, model, prompt_version FROM one",
-    "export_phenotypes": f"WITH one AS {_ONE} SELECT record_id, pmid, x.text AS text, x.hpo_id AS hpo_id, x.hpo_label AS hpo_label, x.excluded AS excluded, x.onset.iso8601 AS onset, x.modifier AS modifier, x.\"grounding\".status AS \"grounding\", {_QUOTES} FROM {_x('phenotypes')}",
-    "export_measurements": f"WITH one AS {_ONE} SELECT record_id, pmid, x.analyte_text AS analyte_text, x.specimen AS specimen, x.value AS value, x.value_text AS value_text, x.unit AS unit, x.unit_ucum AS unit_ucum, x.reference_range.low AS ref_low, x.reference_range.high AS ref_high, x.reference_range.text AS ref_text, x.interpretation AS interpretation, x.timing AS timing, x.condition AS condition, x.age.iso8601 AS age, x.panel AS panel, x.method AS method, x.\"grounding\".status AS \"grounding\", {_QUOTES} FROM {_x('measurements')}",
-    "export_genetic_findings": f"WITH one AS {_ONE} SELECT record_id, pmid, {', '.join(f'x.{c} AS {c}' for c in ('gene_symbol', 'hgnc_id', 'variant_hgvs_c', 'variant_hgvs_p', 'variant_hgvs_g', 'transcript', 'variant_text', 'zygosity', 'inheritance_as_stated', 'classification_as_reported', 'method', 'novel'))}, x.\"grounding\".status AS \"grounding\", {_QUOTES} FROM {_x('genetic_findings')}",
-    "export_diagnoses": f"WITH one AS {_ONE} SELECT record_id, pmid, x.disease_text AS disease_text, x.status AS status, x.confidence_tier AS confidence_tier, x.diagnostic_route AS diagnostic_route, x.age_at_diagnosis.iso8601 AS age_at_diagnosis, x.time_to_diagnosis_text AS time_to_diagnosis_text, coalesce(array_to_string(list_transform(x.prior_misdiagnoses, lambda z: coalesce(z, '')), '|'), '') AS prior_misdiagnoses, x.\"grounding\".status AS \"grounding\", {_QUOTES} FROM {_x('diagnoses')}",
-    "export_treatments": f"WITH one AS {_ONE} SELECT record_id, pmid, x.text AS text, x.type AS type, x.agent AS agent, x.response AS response, x.response_text AS response_text, x.evidence.quote AS quote, x.evidence.anchor AS anchor FROM {_x('treatments')}",
-    "export_documents": "SELECT doc_id, pmid, journal, pub_year, array_to_string(pub_types, '|') AS pub_types, array_to_string(keywords, '|') AS keywords, array_to_string(authors, '|') AS authors, corpus_layer, license, n_chars FROM documents",
     "phenopacket_digest": f"""WITH one AS {_ONE} SELECT record_id, coalesce({_S}.sex, 'UNKNOWN_SEX') AS sex, coalesce(nullif({_S}.age_at_last_followup.iso8601, ''), nullif({_S}.age_at_presentation.iso8601, '')) AS last_seen, CASE WHEN {_S}.vital_status IN ('ALIVE', 'DECEASED') THEN {_S}.vital_status END AS vital_status,
         len(list_filter({_LIVE('phenotypes')}, lambda z: coalesce(z.hpo_id, '') <> '')) AS n_features, len({_LIVE('measurements')}) AS n_measurements, len(list_filter({_LIVE('measurements')}, lambda z: z.value IS NOT NULL)) AS n_quantities,
-        len(list_filter({_LIVE('diagnoses')}, lambda z: coalesce(z.status, '') NOT IN ('DIFFERENTIAL', 'EXCLUDED'))) AS n_diseases, CASE WHEN {_FINAL} IS NOT NULL OR len({_LIVE('genetic_findings')}) > 0 THEN CASE WHEN {_FINAL}.confidence_tier = 'MOLECULAR' THEN 'SOLVED' ELSE 'IN_PROGRESS' END END AS progress,
+        CASE WHEN {_FINAL} IS NOT NULL OR len({_LIVE('genetic_findings')}) > 0 THEN CASE WHEN {_FINAL}.confidence_tier = 'MOLECULAR' THEN 'SOLVED' ELSE 'IN_PROGRESS' END END AS progress,
         len({_LIVE('genetic_findings')}) AS n_variants, len({_LIVE('treatments')}) AS n_actions FROM one""",
     "review_metrics": f"""WITH {_DEC}, m AS (SELECT coalesce(confidence_tier, 'none') AS grp FROM diagnoses WHERE anchor IS NULL),
         d AS (SELECT CASE WHEN grouping(grp) = 1 THEN 'all' ELSE grp END AS grp, count(*) AS n, count(*) FILTER (verdict = 'Correct') AS correct, count(*) FILTER (verdict = 'Partly correct') AS partly, count(*) FILTER (verdict = 'Unsure') AS unsure, count(*) FILTER (verdict IN ('Wrong value', 'Wrong grounding', 'Wrong patient', 'Not in paper')) AS wrong FROM prim GROUP BY ROLLUP (grp)),
         k AS (SELECT CASE WHEN grouping(grp) = 1 THEN 'all' ELSE grp END AS grp, count(*) AS missed FROM m GROUP BY ROLLUP (grp)),
         x AS (SELECT grp, coalesce(n, 0) AS n, coalesce(correct, 0) AS correct, coalesce(partly, 0) AS partly, coalesce(unsure, 0) AS unsure, coalesce(wrong, 0) AS wrong, coalesce(missed, 0) AS missed FROM d FULL OUTER JOIN k USING (grp))
-        SELECT *, {_r('correct', 'n - unsure')} AS precision_strict, {_r('(correct + partly)', 'n - unsure')} AS precision_lenient, {_r('correct', 'correct + missed')} AS recall_strict, {_r('(correct + partly)', 'correct + partly + missed')} AS recall_lenient, {_r('wrong', 'n - unsure')} AS error_rate FROM x""",
+        SELECT *, {_r('correct', 'n - unsure')} AS precision_strict, {_r('(correct + partly)', 'n - unsure')} AS precision_lenient, {_r('correct', 'correct + partly + missed')} AS recall_strict, {_r('(correct + partly)', 'correct + partly + missed')} AS recall_lenient, {_r('wrong', 'n - unsure')} AS error_rate FROM x""",
     "kappa": """WITH b AS (SELECT doc_id FROM subject_labels GROUP BY doc_id HAVING count(DISTINCT rater) = 2), g AS (SELECT doc_id, subject FROM b, subjects),
         x AS (SELECT CASE WHEN EXISTS (SELECT 1 FROM subject_labels l WHERE l.doc_id = g.doc_id AND l.subject = g.subject AND l.rater = 1) THEN 'yes' ELSE 'no' END AS a, CASE WHEN EXISTS (SELECT 1 FROM subject_labels l WHERE l.doc_id = g.doc_id AND l.subject = g.subject AND l.rater = 2) THEN 'yes' ELSE 'no' END AS b FROM g),
         t AS (SELECT count(*) AS n, count(*) FILTER (a = b) AS same, sum(CASE WHEN a = 'yes' THEN 1 ELSE 0 END) AS ay, sum(CASE WHEN b = 'yes' THEN 1 ELSE 0 END) AS bym FROM x),

@@ -304,7 +304,7 @@ def test_interpolation_and_dense_axis(spark):
 
 def test_phenopacket_leaves_empty_keys_out(spark, sf):
     r = spark.read.parquet(f"{sf}/individuals.parquet")
-    for row in r.select(phenopacket.phenopacket_json(F.col("record"), F.col("record_id"), F.col("pmid")).alias("p")).collect():
+    for row in phenopacket.with_added(r).select(phenopacket.phenopacket_json(F.col("record"), F.col("record_id"), F.col("pmid")).alias("p")).collect():
         assert all(v not in ([], None) for v in json.loads(row.p).values())
 
 
