@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import squash, truthy
 
+# The anchor grammar of rendered documents, and wordings that mark sections and sentences.
 SECTION = r"^#{2,4} (.+?) \[sec:(\d+)\]\s*$"
 PARAGRAPH = r"^\[sec:(\d+) ¶(\d+)\] (.*)$"
 TABLE = r"^### Table (.*?) \[tab:(\d+)\]\s*$"
@@ -17,6 +18,7 @@ ROW = r"^\| r(\d+) \| (.*) \|\s*$"
 FIGURE = r"^Figure (\S+): (.*)$"
 ANCHOR = r"(?i)^(abstract|title|sec:(\d+)(?:\s*¶\s*(\d+))?|tab:(\d+)(?:\s*r(\d+))?(?:\s*c(\d+))?|fig:(.+))$"
 TOLERANT_LENGTH = 80
+QUOTES_PER_ROW = 512
 REFERENCE_LIKE = r"(?i)^(references|bibliography|acknowledg|competing interests|funding|author contributions)"
 GENERIC_SECTION = r"(?i)^(introduction|background|discussion|conclusion|conclusions|literature review|review of the literature|methods|materials and methods)\b"
 SELF_REFERENCE = r"(?i)\b(our patient|the patient|this patient|the proband|our proband|this case|our case|the present case|the index case|the child|the boy|the girl|the infant|the neonate|the fetus|the family|the siblings)\b"
@@ -105,11 +107,11 @@ def table_heads(documents: DataFrame, text: str = "text") -> DataFrame:
     others = [c for c in documents.columns if c != text]
     p = documents.where(F.col(text).isNotNull()).select(*others, F.explode(_tables(F.col(text))).alias("p"))
     lines = F.split("p", "\n")
-    plain = F.filter(F.slice(lines, 2, 1_000_000), lambda x: (F.trim(x) != "") & ~F.startswith(x, F.lit("|")))
+    plain = F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda x: (F.trim(x) != "") & ~F.startswith(x, F.lit("|")))
     caption = F.coalesce(F.trim(F.try_element_at(plain, F.lit(1))), F.lit(""))
-    notes = F.filter(F.slice(plain, 2, 1_000_000), lambda x: F.startswith(x, F.lit("Footnotes:")))
+    notes = F.filter(F.slice(plain, F.lit(2), F.size(plain)), lambda x: F.startswith(x, F.lit("Footnotes:")))
     head = F.element_at(lines, 1)
-    return p.select(*others, F.regexp_extract(head, TABLE, 2).cast("int").alias("tab"), F.regexp_extract(head, TABLE, 1).alias("label"), caption.alias("caption"), F.trim(F.substring(F.try_element_at(notes, F.lit(-1)), 11, 1_000_000)).alias("footnotes"))
+    return p.select(*others, F.regexp_extract(head, TABLE, 2).cast("int").alias("tab"), F.regexp_extract(head, TABLE, 1).alias("label"), caption.alias("caption"), F.trim(F.try_element_at(notes, F.lit(-1)).substr(F.lit(11), F.length(F.try_element_at(notes, F.lit(-1))))).alias("footnotes"))
 
 
 def section_titles(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -136,11 +138,10 @@ def _form(anchor: Column, text: Column) -> Column:
     return F.struct(anchor.cast("string").alias("anchor"), text.alias("text"))
 
 
-def resolved(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """All anchor forms as (key, anchor, text): units, whole sections, table rows, cells and columns. Built within each row."""
-    d = documents.where(F.col(text).isNotNull()).select(key, unit_array(F.col(text)).alias("us"))
-    fine = F.transform(F.filter("us", lambda u: u["text"] != ""), lambda u: _form(u["anchor"], u["text"]))
-    of = lambda kind: F.filter("us", lambda u: u["kind"] == kind)
+def anchor_forms(us: Column) -> Column:
+    """All anchor forms of one document's units: units, whole sections, table rows, cells and columns, as (anchor, text)."""
+    fine = F.transform(F.filter(us, lambda u: u["text"] != ""), lambda u: _form(u["anchor"], u["text"]))
+    of = lambda kind: F.filter(us, lambda u: u["kind"] == kind)
     numbers = lambda kind: F.array_distinct(F.transform(of(kind), lambda u: u["n"]))
     mine = lambda kind, n: F.array_sort(F.filter(of(kind), lambda u: u["n"] == n), lambda a, b: a["m"] - b["m"])
     sections = F.transform(numbers("paragraph"), lambda n: _form(F.concat(F.lit("sec:"), n), F.array_join(F.transform(mine("paragraph", n), lambda u: u["text"]), "\n\n")))
@@ -157,31 +158,46 @@ def resolved(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
 
         return F.transform(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), column)
 
-    forms = F.concat(fine, sections, cells, F.flatten(F.transform(numbers("row"), columns)))
-    return d.select(key, F.explode(forms).alias("f")).select(key, "f.anchor", "f.text")
+    return F.concat(fine, sections, cells, F.flatten(F.transform(numbers("row"), columns)))
+
+
+def resolved(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """All anchor forms as (key, anchor, text). Built within each row."""
+    d = documents.where(F.col(text).isNotNull()).select(key, unit_array(F.col(text)).alias("us"))
+    return d.select(key, F.explode(anchor_forms(F.col("us"))).alias("f")).select(key, "f.anchor", "f.text")
 
 
 def verify_quotes(quotes: DataFrame, documents: DataFrame, key: str = "pmid", text: str = "text") -> DataFrame:
     """Where quotes occur: `quotes(key, anchor, quote)` → plus `(anchor_exists, in_anchor, in_document, start, stop)`.
 
     White space is squashed on both sides. A quote longer than 80 characters may match by its first 80; its end is still
-    counted with the full length. Distinct quotes are looked up once; whole texts are read only for those not at their anchor.
+    counted with the full length. Distinct quotes are gathered by document (narrow rows; at most some `QUOTES_PER_ROW` together, so
+    a document with very many is split), meet its row once, and anchors and text are searched within that row. Where an anchor
+    occurs more than once the last one counts.
     """
-    q = quotes.select(key, "anchor", "quote").distinct().withColumns({"_q": squash(F.coalesce("quote", F.lit(""))), "_a": normal_anchor(F.col("anchor"))})
-    target = resolved(documents, key, text).dropDuplicates([key, "anchor"]).select(key, F.col("anchor").alias("_a"), squash(F.col("text")).alias("_t"))
-    head = F.substring("_q", 1, TOLERANT_LENGTH)
-    long_ = F.length("_q") > TOLERANT_LENGTH
-    at = q.join(target, [key, "_a"], "left")
-    pos = F.when(F.col("_q") == "", 0).otherwise(F.coalesce(F.nullif(F.expr("instr(_t, _q)"), F.lit(0)), F.when(long_, F.expr(f"instr(_t, substring(_q, 1, {TOLERANT_LENGTH}))"))))
-    at = at.withColumns({"_pos": F.coalesce(pos, F.lit(0)), "anchor_exists": F.col("_t").isNotNull()}).drop("_t")
-    near = at.where("_pos > 0").withColumn("in_document", F.lit(True))
-    full = documents.select(key, squash(F.col(text)).alias("_d"))
-    inside = (F.col("_q") != "") & (F.contains("_d", "_q") | (long_ & F.contains("_d", head)))
-    far = at.where("_pos = 0").join(full, key, "left").withColumn("in_document", F.coalesce(inside, F.lit(False))).drop("_d")
-    out = near.unionByName(far)
+    q = quotes.select(key, "anchor", "quote").distinct()
+    many = q.groupBy(key).agg(F.ceil(F.count("*") / QUOTES_PER_ROW).alias("_parts"))
+    q = q.join(many, q[key].eqNullSafe(many[key])).drop(many[key]).withColumn("_part", F.pmod(F.xxhash64("anchor", "quote"), F.col("_parts")))
+    one = F.struct("anchor", "quote", squash(F.coalesce("quote", F.lit(""))).alias("q"), normal_anchor(F.col("anchor")).alias("a"))
+    q = q.groupBy(key, "_part").agg(F.collect_list(one).alias("_qs"))
+    docs = documents.select(key, text)
+    j = q.join(docs, key, "left")
+    # Two generators of one row each keep the units and the forms from being computed per quote.
+    j = j.select(key, "_qs", F.inline(F.array(F.struct(F.when(F.col(text).isNotNull(), unit_array(F.col(text))).alias("_us"), squash(F.col(text)).alias("_d")))))
+    j = j.select(key, "_qs", "_d", F.inline(F.array(F.struct(F.coalesce(anchor_forms(F.col("_us")), F.array().cast("array<struct<anchor:string,text:string>>")).alias("_forms")))))
+
+    def looked_up(x: Column) -> Column:
+        return F.struct(x["anchor"].alias("anchor"), x["quote"].alias("quote"), x["q"].alias("q"), squash(F.try_element_at(F.filter("_forms", lambda f: f["anchor"] == x["a"]), F.lit(-1))["text"]).alias("t"))
+
+    out = j.select(key, "_d", F.explode(F.transform("_qs", looked_up)).alias("x")).select(key, "_d", "x.*")
+    long_ = F.length("q") > TOLERANT_LENGTH
+    head = F.substring("q", 1, TOLERANT_LENGTH)
+    pos = F.when(F.col("q") == "", 0).otherwise(F.coalesce(F.nullif(F.expr("instr(t, q)"), F.lit(0)), F.when(long_, F.expr(f"instr(t, substring(q, 1, {TOLERANT_LENGTH}))"))))
+    inside = (F.col("q") != "") & (F.contains("_d", "q") | (long_ & F.contains("_d", head)))
+    out = out.withColumn("_pos", F.coalesce(pos, F.lit(0)))
     return out.select(
-        key, "anchor", "quote", "anchor_exists", (F.col("_pos") > 0).alias("in_anchor"), "in_document",
-        F.when(F.col("_pos") > 0, F.col("_pos") - 1).alias("start"), F.when(F.col("_pos") > 0, F.col("_pos") - 1 + F.length("_q")).alias("stop"),
+        key, "anchor", "quote", F.col("t").isNotNull().alias("anchor_exists"), (F.col("_pos") > 0).alias("in_anchor"), ((F.col("_pos") > 0) | F.coalesce(inside, F.lit(False))).alias("in_document"),
+        F.when(F.col("_pos") > 0, F.col("_pos") - 1).alias("start"), F.when(F.col("_pos") > 0, F.col("_pos") - 1 + F.length("q")).alias("stop"),
     )
 
 

@@ -56,7 +56,9 @@ def pick(pool: DataFrame, n: Column, min_series: Column, min_per_band: int, by:
     g = Window.partitionBy(*by)
     band = Window.partitionBy(*by, "band")
     by_rank = g.orderBy("rank_hash")
-    x = pool.withColumns({"_n": n, "_min_series": min_series, "_total": F.count("*").over(g), "_in_band": F.count("*").over(band)})
+    x = pool.withColumns({"_n": n, "_min_series": min_series})
+    if "_total" not in pool.columns:
+        x = x.withColumns({"_total": F.count("*").over(g), "_in_band": F.count("*").over(band)})
     x = x.withColumn("_is", F.col("kind").isin("series", "small_series"))
     x = x.withColumn("_r1", F.when(F.col("_is"), F.row_number().over(Window.partitionBy(*by, "_is").orderBy("rank_hash"))))
     x = x.withColumn("_s1", F.coalesce((F.col("_r1") <= F.col("_min_series")) & (F.col("_r1") <= F.col("_n")), F.lit(False)))
@@ -87,10 +89,15 @@ def pick(pool: DataFrame, n: Column, min_series: Column, min_per_band: int, by:
 def draw(documents: DataFrame, per_set: int = 25, seed: int = 1, fulltext_share: float = 0.72, min_series: int = 4, min_per_band: int = 2) -> DataFrame:
     """One independent draw per set (sets that share documents are drawn one after the other by `draw_in_turn`)."""
     x = strata(documents, seed)
-    g = Window.partitionBy("set_name")
-    n_ft, n_ab = F.sum(F.col("ft").cast("int")).over(g), F.sum((~F.col("ft")).cast("int")).over(g)
+    # Sizes are partial counts. A pick never takes a row beyond the first `per_set` of its stratum, so only those go on: the row
+    # limit is applied before the shuffle (window group limit), and no task sorts a whole set.
+    sizes = x.groupBy("set_name", "ft", "band").agg(F.count("*").alias("_in_band"))
+    g, half = Window.partitionBy("set_name"), Window.partitionBy("set_name", "ft")
+    part = lambda yes: F.sum(F.when(F.col("ft") if yes else ~F.col("ft"), F.col("_in_band")).otherwise(0)).over(g)
+    sizes = sizes.withColumns({"_total": F.sum("_in_band").over(half), "_nf": part(True), "_na": part(False)})
+    first = Window.partitionBy("set_name", "ft", "band", F.col("kind").isin("series", "small_series")).orderBy("rank_hash")
+    x = x.withColumn("_first", F.row_number().over(first)).where(F.col("_first") <= per_set).drop("_first").join(sizes, ["set_name", "ft", "band"])
     want = int(round(per_set * fulltext_share))
-    x = x.withColumns({"_nf": n_ft, "_na": n_ab})
     a = F.least(F.lit(per_set) - F.least(F.lit(want), F.col("_nf")), F.col("_na"))
     x = x.withColumn("_take_ab", a).withColumn("_take_ft", F.least(F.lit(per_set) - F.col("_take_ab"), F.col("_nf")))
     # Where the abstract half falls short the full-text half fills up; never beyond what there is.

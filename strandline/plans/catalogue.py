@@ -26,9 +26,10 @@ def _attempts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tier_promotion(spark: SparkSession, d: str) -> DataFrame:
-    """Latest attempt per (pmid, tier), and whether it may promote a document that stands at `abstract`."""
+    """Latest attempt per (pmid, tier), and whether it may promote a document that stands at none, `abstract` or some tier."""
     last = catalogue.latest(_attempts(spark, d), ["pmid", "tier"], [F.col("ts"), F.col("event_id")])
-    return last.select("pmid", "tier", "ok", catalogue.promoted_tier(F.lit("abstract"), F.col("tier"), F.coalesce("ok", F.lit(False))).alias("now"))
+    current = F.element_at(F.array(F.lit(None).cast("string"), F.lit("abstract"), *map(F.lit, catalogue.FULLTEXT_TIERS)), (F.col("pmid").cast("int") % 6 + 1))
+    return last.select("pmid", "tier", "ok", current.alias("before"), catalogue.promoted_tier(current, F.col("tier"), F.coalesce("ok", F.lit(False))).alias("now"))
 
 
 def tier_cascade(spark: SparkSession, d: str) -> DataFrame:
@@ -38,13 +39,14 @@ def tier_cascade(spark: SparkSession, d: str) -> DataFrame:
 
 
 def not_attempted(spark: SparkSession, d: str) -> DataFrame:
-    a = _attempts(spark, d)
-    docs = a.select("pmid", F.lit(None).cast("string").alias("fulltext_tier")).distinct()
+    a = _attempts(spark, d).where("event_id % 7 < 2")
+    docs = _attempts(spark, d).select("pmid", F.lit(None).cast("string").alias("fulltext_tier")).distinct()
     return catalogue.open_attempts(docs, a).select("pmid", "tier", F.col("rank").cast("bigint").alias("rank"))
 
 
 def publisher_router(spark: SparkSession, d: str) -> DataFrame:
-    x = t(spark, d, "documents").where("doi is not null")
+    prefixes = F.array(*map(F.lit, ("10.1016", "10.1002", "10.1111", "10.1007", "10.1038", "10.1186", "10.1140", "10.9999")))
+    x = t(spark, d, "documents").where("doi is not null").withColumn("doi", F.concat(F.element_at(prefixes, (F.col("doc_id") % 8 + 1).cast("int")), F.lit("/"), F.substring_index("doi", "/", -1)))
     return x.groupBy(F.coalesce(catalogue.publisher(F.col("doi")), F.lit("none")).alias("publisher")).agg(F.count("*").alias("n"))
 
 
@@ -222,10 +224,10 @@ _LAST = lambda c: f"arg_max({c}, (coalesce(added_at, 0), doc_id)) FILTER ({c} IS
 SQL = {
     "upsert_latest": f"SELECT pmid, {', '.join(_LAST(c) for c in ('pmcid', 'doi', 'journal', 'pub_year', 'license', 'fulltext_tier', 'updated_at'))}, arg_min(added_at, (coalesce(added_at, 0), doc_id)) FILTER (added_at IS NOT NULL) AS added_at FROM documents WHERE pmid IS NOT NULL GROUP BY pmid",
     "layer_precedence": "SELECT pmid, min(corpus_layer) AS corpus_layer FROM documents WHERE pmid IS NOT NULL GROUP BY pmid",
-    "tier_promotion": f"WITH {_ATT} SELECT pmid, tier, ok, CASE WHEN coalesce(ok, false) THEN tier ELSE 'abstract' END AS now FROM att QUALIFY row_number() OVER (PARTITION BY pmid, tier ORDER BY ts DESC, event_id DESC) = 1",
+    "tier_promotion": f"WITH {_ATT}, l AS (SELECT pmid, tier, ok, [NULL, 'abstract', 'epmc', 'pmc', 'unpaywall', 'publisher'][CAST(pmid AS INT) % 6 + 1] AS before FROM att QUALIFY row_number() OVER (PARTITION BY pmid, tier ORDER BY ts DESC, event_id DESC) = 1) SELECT pmid, tier, ok, before, CASE WHEN coalesce(ok, false) AND (before IS NULL OR before = 'abstract' OR before = tier) THEN tier ELSE before END AS now FROM l",
     "tier_cascade": f"WITH {_ATT} SELECT pmid, CASE min(CASE WHEN ok THEN CASE tier WHEN 'epmc' THEN 0 WHEN 'pmc' THEN 1 WHEN 'unpaywall' THEN 2 ELSE 3 END END) WHEN 0 THEN 'epmc' WHEN 1 THEN 'pmc' WHEN 2 THEN 'unpaywall' WHEN 3 THEN 'publisher' ELSE 'abstract' END AS fulltext_tier FROM att GROUP BY pmid",
-    "not_attempted": f"WITH {_ATT}, tiers AS (SELECT * FROM (VALUES ('epmc', 0), ('pmc', 1), ('unpaywall', 2), ('publisher', 3)) AS v(tier, rank)) SELECT p.pmid, tiers.tier, CAST(rank AS BIGINT) AS rank FROM (SELECT DISTINCT pmid FROM att) p CROSS JOIN tiers WHERE NOT EXISTS (SELECT 1 FROM att a WHERE a.pmid = p.pmid AND a.tier = tiers.tier)",
-    "publisher_router": "SELECT CASE WHEN split_part(doi, '/', 1) = '10.1016' THEN 'elsevier' WHEN split_part(doi, '/', 1) IN ('10.1002', '10.1111') THEN 'wiley' WHEN split_part(doi, '/', 1) IN ('10.1007', '10.1038', '10.1186', '10.1140') THEN 'springer' ELSE 'none' END AS publisher, count(*) AS n FROM documents WHERE doi IS NOT NULL GROUP BY 1",
+    "not_attempted": f"WITH {_ATT}, tiers AS (SELECT * FROM (VALUES ('epmc', 0), ('pmc', 1), ('unpaywall', 2), ('publisher', 3)) AS v(tier, rank)) SELECT p.pmid, tiers.tier, CAST(rank AS BIGINT) AS rank FROM (SELECT DISTINCT pmid FROM att) p CROSS JOIN tiers WHERE NOT EXISTS (SELECT 1 FROM att a WHERE a.event_id % 7 < 2 AND a.pmid = p.pmid AND a.tier = tiers.tier)",
+    "publisher_router": "WITH documents AS (SELECT ['10.1016', '10.1002', '10.1111', '10.1007', '10.1038', '10.1186', '10.1140', '10.9999'][doc_id % 8 + 1] || '/' || split_part(doi, '/', 2) AS doi FROM documents WHERE doi IS NOT NULL) SELECT CASE WHEN split_part(doi, '/', 1) = '10.1016' THEN 'elsevier' WHEN split_part(doi, '/', 1) IN ('10.1002', '10.1111') THEN 'wiley' WHEN split_part(doi, '/', 1) IN ('10.1007', '10.1038', '10.1186', '10.1140') THEN 'springer' ELSE 'none' END AS publisher, count(*) AS n FROM documents WHERE doi IS NOT NULL GROUP BY 1",
     "set_membership": "SELECT doc_id, pmid, journal, pub_year FROM documents WHERE doc_id IN (SELECT doc_id FROM subject_labels)",
     "set_sizes": "WITH x AS (SELECT DISTINCT 'subject:' || subject AS set_name, doc_id, rater FROM subject_labels), b AS (SELECT set_name, doc_id, 'rater 1' AS source FROM x WHERE rater = 1), n AS (SELECT set_name, doc_id, 'rater 2' AS source FROM x WHERE rater = 2 AND NOT EXISTS (SELECT 1 FROM b WHERE b.set_name = x.set_name AND b.doc_id = x.doc_id)) SELECT set_name, source, count(*) AS n FROM (SELECT * FROM b UNION ALL SELECT * FROM n) GROUP BY set_name, source",
     "replace_links": "SELECT l_orderkey AS record_a, l_partkey AS record_b, l_extendedprice AS score FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_shipdate DESC, l_linenumber DESC) = 1",

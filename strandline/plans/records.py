@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import numbers, text
 from ..operators import facts, linkage, overview, phenopacket, review, sampling, validation
+from ..operators.grounding import small
 from ..session import table as t
 from .documents import _DOCS, _docs, _records
 
@@ -142,7 +143,7 @@ def kappa(spark: SparkSession, d: str) -> DataFrame:
     """Agreement of the two raters on whether a document is about a subject (all pairs of rated document and subject)."""
     lab = t(spark, d, "subject_labels")
     both = lab.groupBy("doc_id").agg(F.countDistinct("rater").alias("n")).where("n = 2").select("doc_id")
-    grid = both.join(F.broadcast(t(spark, d, "subjects").select("subject")))
+    grid = both.join(small(t(spark, d, "subjects").select("subject")))
     said = lambda r, c: lab.where(F.col("rater") == r).select("doc_id", "subject", F.lit("yes").alias(c)).distinct()
     x = grid.join(said(1, "a"), ["doc_id", "subject"], "left").join(said(2, "b"), ["doc_id", "subject"], "left").fillna("no", ["a", "b"])
     return review.agreement(x.select("a", "b"))
@@ -329,6 +330,11 @@ SQL = {
         len(list_filter({_LIVE('phenotypes')}, lambda z: coalesce(z.hpo_id, '') <> '')) AS n_features, len({_LIVE('measurements')}) AS n_measurements, len(list_filter({_LIVE('measurements')}, lambda z: z.value IS NOT NULL)) AS n_quantities,
         CASE WHEN {_FINAL} IS NOT NULL OR len({_LIVE('genetic_findings')}) > 0 THEN CASE WHEN {_FINAL}.confidence_tier = 'MOLECULAR' THEN 'SOLVED' ELSE 'IN_PROGRESS' END END AS progress,
         len({_LIVE('genetic_findings')}) AS n_variants, len({_LIVE('treatments')}) AS n_actions FROM one""",
+    "phenopacket_issues": """WITH p AS (SELECT phenopacket AS t, json_valid(phenopacket) AS ok FROM individuals WHERE phenopacket IS NOT NULL), v AS (SELECT ok, CASE WHEN ok THEN json_extract_string(t, '$.id') END AS a, CASE WHEN ok THEN json_extract_string(t, '$.subject') END AS b, CASE WHEN ok THEN json_extract_string(t, '$.metaData') END AS c FROM p),
+        i AS (SELECT 'no JSON' AS issue FROM v WHERE NOT ok UNION ALL SELECT 'no id' FROM v WHERE ok AND a IS NULL UNION ALL SELECT 'no subject' FROM v WHERE ok AND b IS NULL UNION ALL SELECT 'no metaData' FROM v WHERE ok AND c IS NULL) SELECT issue, count(*) AS n FROM i GROUP BY issue""",
+    "year_interpolation": f"""WITH docs AS {_DOCS}, n AS (SELECT pmid, CAST(pmid AS BIGINT) AS k, pub_year FROM docs WHERE regexp_matches(pmid, '^[0-9]+$')), a AS (SELECT CAST(min(k) AS DOUBLE) AS k, round(avg(pub_year), 3) AS v FROM n WHERE pub_year IS NOT NULL GROUP BY k // 500),
+        j AS (SELECT n.pmid, n.k, (SELECT max(struct_pack(k := a.k, v := a.v)) FROM a WHERE a.k <= n.k) AS l, (SELECT min(struct_pack(k := a.k, v := a.v)) FROM a WHERE a.k >= n.k) AS h FROM n)
+        SELECT pmid, round(coalesce(l.v + (h.v - l.v) * (k - l.k) / nullif(h.k - l.k, 0), l.v, h.v), 2) AS approx_year FROM j""",
     "review_metrics": f"""WITH {_DEC}, m AS (SELECT coalesce(confidence_tier, 'none') AS grp FROM diagnoses WHERE anchor IS NULL),
         d AS (SELECT CASE WHEN grouping(grp) = 1 THEN 'all' ELSE grp END AS grp, count(*) AS n, count(*) FILTER (verdict = 'Correct') AS correct, count(*) FILTER (verdict = 'Partly correct') AS partly, count(*) FILTER (verdict = 'Unsure') AS unsure, count(*) FILTER (verdict IN ('Wrong value', 'Wrong grounding', 'Wrong patient', 'Not in paper')) AS wrong FROM prim GROUP BY ROLLUP (grp)),
         k AS (SELECT CASE WHEN grouping(grp) = 1 THEN 'all' ELSE grp END AS grp, count(*) AS missed FROM m GROUP BY ROLLUP (grp)),

@@ -29,10 +29,13 @@ def session(app: str = "strandline", master: str | None = None, **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: `spark.checkpoint.dir` of the session; a temporary folder of this
-    machine only where that is unset (tests, local mode)."""
+    """The folder that all executors share: `spark.checkpoint.dir` of the session. Only in local mode, where that is unset, a
+    temporary folder of this machine; a cluster without the setting is refused, its executors would write to their own disks."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = "file://" + os.path.join(tempfile.gettempdir(), "strandline-shared")
     return d
 
