@@ -182,23 +182,25 @@ def verify_quotes(quotes: DataFrame, documents: DataFrame, key: str = "pmid", te
     q = q.groupBy(key, "_part").agg(F.collect_list(one).alias("_qs"))
     docs = documents.select(key, text)
     j = q.join(docs, key, "left")
-    # Two generators of one row each keep the units and the forms from being computed per quote.
+    # Generators of one row each keep the units and the forms from being computed per quote.
     j = j.select(key, "_qs", F.inline(F.array(F.struct(F.when(F.col(text).isNotNull(), unit_array(F.col(text))).alias("_us"), squash(F.col(text)).alias("_d")))))
     j = j.select(key, "_qs", "_d", F.inline(F.array(F.struct(F.coalesce(anchor_forms(F.col("_us")), F.array().cast("array<struct<anchor:string,text:string>>")).alias("_forms")))))
+    last_first = lambda part: F.reverse(F.transform("_forms", lambda f: f[part]))
+    j = j.select(key, "_qs", "_d", F.inline(F.array(F.struct(last_first("anchor").alias("_names"), last_first("text").alias("_texts")))))
 
     def looked_up(x: Column) -> Column:
-        return F.struct(x["anchor"].alias("anchor"), x["quote"].alias("quote"), x["q"].alias("q"), squash(F.try_element_at(F.filter("_forms", lambda f: f["anchor"] == x["a"]), F.lit(-1))["text"]).alias("t"))
-
-    out = j.select(key, "_d", F.explode(F.transform("_qs", looked_up)).alias("x")).select(key, "_d", "x.*")
-    long_ = F.length("q") > TOLERANT_LENGTH
-    head = F.substring("q", 1, TOLERANT_LENGTH)
-    pos = F.when(F.col("q") == "", 0).otherwise(F.coalesce(F.nullif(F.expr("instr(t, q)"), F.lit(0)), F.when(long_, F.expr(f"instr(t, substring(q, 1, {TOLERANT_LENGTH}))"))))
-    inside = (F.col("q") != "") & (F.contains("_d", "q") | (long_ & F.contains("_d", head)))
-    out = out.withColumn("_pos", F.coalesce(pos, F.lit(0)))
-    return out.select(
-        key, "anchor", "quote", F.col("t").isNotNull().alias("anchor_exists"), (F.col("_pos") > 0).alias("in_anchor"), ((F.col("_pos") > 0) | F.coalesce(inside, F.lit(False))).alias("in_document"),
-        F.when(F.col("_pos") > 0, F.col("_pos") - 1).alias("start"), F.when(F.col("_pos") > 0, F.col("_pos") - 1 + F.length("q")).alias("stop"),
-    )
+        at = F.array_position("_names", x["a"])
+        return F.struct(x["anchor"].alias("anchor"), x["quote"].alias("quote"), x["q"].alias("q"), squash(F.try_element_at("_texts", F.nullif(at, F.lit(0)).cast("int"))).alias("t"))
+
+    def placed(x: Column) -> Column:
+        long_, head = F.length(x["q"]) > TOLERANT_LENGTH, F.substring(x["q"], 1, TOLERANT_LENGTH)
+        pos = F.when(x["q"] == "", 0).otherwise(F.coalesce(F.nullif(F.instr(x["t"], x["q"]), F.lit(0)), F.when(long_, F.instr(x["t"], head)), F.lit(0)))
+        inside = F.when(x["q"] == "", False).otherwise(F.contains("_d", x["q"]) | (long_ & F.contains("_d", head)))
+        return F.struct(x["anchor"].alias("anchor"), x["quote"].alias("quote"), F.length(x["q"]).alias("n"), x["t"].isNotNull().alias("anchor_exists"), pos.alias("pos"), F.when(pos > 0, True).otherwise(F.coalesce(inside, F.lit(False))).alias("in_document"))
+
+    out = j.select(key, F.explode(F.transform(F.transform("_qs", looked_up), placed)).alias("x")).select(key, "x.*")
+    at = F.when(F.col("pos") > 0, F.col("pos") - 1)
+    return out.select(key, "anchor", "quote", "anchor_exists", (F.col("pos") > 0).alias("in_anchor"), "in_document", at.alias("start"), (at + F.col("n")).alias("stop"))
 
 
 def expand(anchors: DataFrame, u: DataFrame, key: str, owner: str) -> DataFrame:
