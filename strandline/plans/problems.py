@@ -16,6 +16,10 @@ def p6_model_report(spark: SparkSession, d: str) -> DataFrame:
     return harmonise.model_report(t(spark, d, "measurements"), t(spark, d, "analytes_builtin"))
 
 
+def p6_held_out(spark: SparkSession, d: str) -> DataFrame:
+    return harmonise.held_out(t(spark, d, "measurements"), t(spark, d, "analytes_builtin"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.found(t(spark, d, "individuals"))
 
@@ -37,7 +41,7 @@ def _table(tag: str):
 
 
 QUERIES: dict = {f"p3_{tag.replace('.', '_')}": _table(tag) for tag in nested.TABLES}
-QUERIES |= {"p3_found": p3_found, "p3_links": p3_links, "p3_tables": p3_tables, "p3_genetic_findings": p3_genetic_findings, "p6_found": p6_found, "p6_model_report": p6_model_report}
+QUERIES |= {"p3_found": p3_found, "p3_links": p3_links, "p3_tables": p3_tables, "p3_genetic_findings": p3_genetic_findings, "p6_found": p6_found, "p6_model_report": p6_model_report, "p6_held_out": p6_held_out}
 SQL: dict = {
     "p3_genetic_findings": """
         WITH one AS (SELECT DISTINCT record_id, record.genetic_findings AS g FROM individuals WHERE record.genetic_findings IS NOT NULL),
