@@ -1,7 +1,9 @@
 """Problem 3: deeply nested records as flat tables that keep parent-child links.
 
 Single-pass tagged emission: a depth-first visitor walks each record once and emits one row per object, tagged with the
-dotted path it stands at, with its scalar fields as payload, and one row per scalar that is an array's element. The emission
+dotted path it stands at, with its scalar fields as payload, and one row per scalar that is an array's element. Where the record
+is a struct, the visitor is compiled from its schema into one expression (no Python worker); JSON text, whose shape varies, is
+visited in Arrow batches. The emission
 is written once to the shared folder, partitioned by tag when tables are wanted; typed schemas are applied on reading.
 
 Tables: the root (`record`, `phenopacket`), every array of objects and every array of scalars (field `value`). An object that
@@ -16,34 +18,97 @@ object.
 
 Cases: null and empty records, null elements (no row, index kept), elements that aren't objects (no row in `found`), text that
 is no valid JSON or cut off (no rows), JSON within a JSON string (read as JSON), repeated records (one row per object), records
-of one id with different contents (kept apart by `version`), objects below objects at any depth; nesting deeper than the JSON
-parser allows counts as invalid; other columns are ignored.
+of one id with different contents (kept apart by `version`), objects below objects at any depth (nesting deeper than the JSON
+parser's stack is read by an iterative one); other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from functools import reduce
+from json.decoder import scanstring
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import materialise, scratch
 
 EMITTED = "record_id string, version bigint, tag string, raw string, kind string, payload string"
 ROW = "record_id string, version bigint, pos string, parent_path string, parent_pos string, payload string, tag string"
-# Stands before every key of a payload on the way, for the prefix; and for a dot within a field's name.
-MARK, DOT = "\x01", "\x02"
+MAX_PATHS = 100_000
+# Stands before every key of a payload on the way, for the prefix (a control character, escaped as JSON does); and for a dot within
+# a field's name.
+CONTROL, MARK, DOT = "\x01", "\\u0001", "\x02"
+
+
+_TOKEN = re.compile(r"[ \t\n\r]*(?:([{}\[\]:,])|(\")|(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?|NaN|-?Infinity)|(true|false|null))")
+
+
+def _deep(text: str):
+    """A JSON text of any depth, with an explicit stack; raises ValueError like the library's parser."""
+    stack: list[tuple] = []  # (container, key that waits for its value)
+    at, key, here, want = 0, None, None, "value"
+    while True:
+        m = _TOKEN.match(text, at)
+        if not m:
+            raise ValueError(f"no JSON at {at}")
+        at, mark = m.end(), m[1]
+        if m[2]:
+            value, at = scanstring(text, at, True)
+            if want == "key" or want == "first key":
+                key, want = value, "colon"
+                continue
+        elif m[3]:
+            value = json.loads(m[3])
+        elif m[4]:
+            value = {"true": True, "false": False, "null": None}[m[4]]
+        elif mark == ":" and want == "colon":
+            want = "value"
+            continue
+        elif mark == "," and want == "more":
+            want = "key" if isinstance(here, dict) else "value"
+            continue
+        elif mark in "{[" and want in ("value", "first value"):
+            stack.append((here, key))
+            here, key = ({} if mark == "{" else []), None
+            want = "first key" if mark == "{" else "first value"
+            continue
+        elif (mark == "}" and isinstance(here, dict) and want in ("first key", "more")) or (mark == "]" and isinstance(here, list) and want in ("first value", "more")):
+            value = here
+            here, key = stack.pop()
+            want = "value"
+        else:
+            raise ValueError(f"unexpected {mark!r} at {at}")
+        if want not in ("value", "first value"):
+            raise ValueError(f"unexpected value at {at}")
+        if here is None:
+            if text[at:].strip(" \t\n\r"):
+                raise ValueError(f"extra data at {at}")
+            return value
+        if isinstance(here, dict):
+            here[key] = value
+        else:
+            here.append(value)
+        want = "more"
+
+
+def _parse(text: str):
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _deep(text)
 
 
 def _loads(text: str):
     """The JSON value of a text, also where it is wrapped in JSON strings; None if it is no valid JSON."""
     try:
-        value = json.loads(text.lstrip("﻿"))
+        value = _parse(text.lstrip("\ufeff"))
         while isinstance(value, str):
-            value = json.loads(value)
+            value = _parse(value)
         return value
-    except (ValueError, RecursionError):
+    except ValueError:
         return None
 
 
@@ -93,17 +158,70 @@ def visit(root: str, value, payload: bool, singles: bool, whole: bool) -> list[t
     return out
 
 
+_EMPTY = "array<struct<tag:string,raw:string,kind:string,payload:string>>"
+
+
+def _payload(fields: list[Column]) -> Column:
+    """The given fields (texts, aliased by `_marked`) as members of a JSON object, nulls left out."""
+    if not fields:
+        return F.lit("")
+    return F.trim(F.to_json(F.struct(*fields)), F.lit("{}"))  # members begin and end with a quote, so only the braces go
+
+
+def _marked(c: Column, name: str) -> Column:
+    """A scalar as text under its marked name."""
+    return c.cast("string").alias(CONTROL + name)
+
+
+def _row(path: str, raw: Column, kind: str, payload: Column | None) -> Column:
+    text = payload if payload is not None else F.lit(None).cast("string")
+    return F.struct(F.lit(path).alias("tag"), raw.alias("raw"), F.lit(kind).alias("kind"), text.alias("payload"))
+
+
+def compiled(c: Column, kind: T.StructType, path: str, raw: Column, element: bool, payload: bool, whole: bool, root: bool = False) -> Column:
+    """`visit` for a struct of known schema, as one expression: an array of (tag, raw, kind, payload)."""
+    nested = (T.StructType, T.ArrayType)
+    parts = []
+    if element or (whole if root else payload):
+        members = _payload([_marked(c[f.name], f.name) for f in kind if not isinstance(f.dataType, nested)]) if payload else None
+        parts.append(F.array(_row(path, raw, "element" if element else "single", members)))
+    for f in kind:
+        below = f"{path}.{f.name.replace('.', DOT)}"
+        x = c[f.name]
+        if isinstance(f.dataType, T.StructType):
+            one = compiled(x, f.dataType, below, F.concat(raw, F.lit(".~")), False, payload, whole)
+            parts.append(F.when(x.isNotNull(), one).otherwise(F.array().cast(_EMPTY)))
+        elif isinstance(f.dataType, T.ArrayType):
+            parts += _compiled_array(x, f.dataType.elementType, below, raw, None, payload, whole)
+    return F.concat(*parts) if parts else F.array().cast(_EMPTY)
+
+
+def _compiled_array(x: Column, kind: T.DataType, path: str, up: Column, index: Column | None, payload: bool, whole: bool) -> list[Column]:
+    def each(v: Column, i: Column) -> Column:
+        at = i.cast("string") if index is None else F.concat(index, F.lit("/"), i.cast("string"))
+        if isinstance(kind, T.StructType):
+            rows = compiled(v, kind, path, F.concat(up, F.lit("."), at), True, payload, whole)
+        elif isinstance(kind, T.ArrayType):
+            rows = F.concat(*(_compiled_array(v, kind.elementType, path, up, at, payload, whole) or [F.array().cast(_EMPTY)]))
+        else:
+            rows = F.array(_row(path, F.concat(up, F.lit("."), at), "value", _payload([_marked(v, "value")]) if payload else None))
+        return F.when(v.isNotNull(), rows).otherwise(F.array().cast(_EMPTY))
+
+    if not isinstance(kind, (T.StructType, T.ArrayType)) and not whole:
+        return []
+    return [F.coalesce(F.flatten(F.transform(x, each)), F.array().cast(_EMPTY))]
+
+
 def _emitter(payload: bool, whole: bool):
     columns = [c.split()[0] for c in EMITTED.split(", ")]
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             rows = []
-            for rid, *texts in zip(pdf["record_id"], pdf["record"], pdf["record_version"], pdf["phenopacket"], pdf["phenopacket_version"], strict=True):
-                for root, text, version in (("record", *texts[:2]), ("phenopacket", *texts[2:])):
-                    value = None if text is None else _loads(text)
-                    if isinstance(value, (dict, list)):
-                        rows += [(rid, version, *x) for x in visit(root, value, payload, root == "phenopacket", whole)]
+            for rid, version, root, text in zip(pdf["record_id"], pdf["version"], pdf["root"], pdf["text"], strict=True):
+                value = _loads(text)
+                if isinstance(value, (dict, list)):
+                    rows += [(rid, version, *x) for x in visit(root, value, payload, root == "phenopacket", whole)]
                 if len(rows) > 50_000:
                     yield pd.DataFrame(rows, columns=columns)
                     rows = []
@@ -113,17 +231,25 @@ def _emitter(payload: bool, whole: bool):
 
 
 def emit(individuals: DataFrame, payload: bool = True, whole: bool = True, root: str | None = None) -> DataFrame:
-    """Tagged emission of `record` (struct) and `phenopacket` (JSON text), or of `root` alone, of every row with a record id."""
-    record = F.to_json("record").alias("record") if isinstance(individuals.schema["record"].dataType, T.StructType) else F.col("record")
-    texts = individuals.where("record_id is not null").select("record_id", record, "phenopacket")
-    texts = texts.withColumns({x: F.lit(None).cast("string") for x in ("record", "phenopacket") if root not in (None, x)})
-    texts = texts.withColumns({f"{x}_version": F.xxhash64(x) for x in ("record", "phenopacket")})
-    return texts.mapInPandas(_emitter(payload, whole), EMITTED)
+    """Tagged emission of `record` (struct or JSON text) and `phenopacket` (JSON text), or of `root` alone, of every row with a record
+    id."""
+    parts = []
+    for name in ("record", "phenopacket"):
+        if root not in (None, name):
+            continue
+        kind = individuals.schema[name].dataType
+        x = individuals.where(F.col("record_id").isNotNull() & F.col(name).isNotNull()).select("record_id", F.xxhash64(name).alias("version"), F.col(name).alias("v"))
+        if isinstance(kind, T.StructType):
+            x = x.select("record_id", "version", F.explode(compiled(F.col("v"), kind, name, F.lit("~"), False, payload, whole, True)).alias("e"))
+            parts.append(x.select("record_id", "version", "e.tag", "e.raw", "e.kind", "e.payload"))
+        else:
+            parts.append(x.select("record_id", "version", F.lit(name).alias("root"), F.col("v").alias("text")).mapInPandas(_emitter(payload, whole), EMITTED))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def resolve(emitted: DataFrame) -> DataFrame:
+def resolve(emitted: DataFrame, of: str = "true") -> DataFrame:
     """Emission with final positions: in the phenopacket single objects at array places become element 0; the other single
-    objects belong to the nearest row above. Reads `emitted` twice, so hand in a written one.
+    objects belong to the nearest row above. Reads `emitted` twice, so hand in a written one; only rows that satisfy `of` are resolved.
 
     `(record_id, version, path, pos, parent_path, parent_pos, is_row, is_value, prefix, payload)`: the row an emitted object
     belongs to, that row's parent (null for a root), and the prefix of the object's fields in that row.
@@ -135,7 +261,9 @@ def resolve(emitted: DataFrame) -> DataFrame:
     # A root that is no array's element stays the root, also where others are arrays.
     place = F.when(F.col("i") > 0, F.coalesce("is_array", F.lit(False))).otherwise(False)
     masks = prefixes.join(arrays.withColumn("is_array", F.lit(True)), "prefix", "left").groupBy("tag").agg(F.array_sort(F.collect_list(F.struct("i", place.alias("a"))))["a"].alias("mask"))
-    rows = emitted.join(masks, "tag").withColumns({"tokens": F.split("raw", "[.]"), "names": F.split("tag", "[.]")})
+    # The emission is small on disk and large in memory: left to its estimate the optimiser may send it instead of the paths.
+    masks = F.broadcast(masks) if paths.count() <= MAX_PATHS else masks.hint("merge")
+    rows = emitted.where(of).join(masks, "tag").withColumns({"tokens": F.split("raw", "[.]"), "names": F.split("tag", "[.]")})
     # Levels of the path that have an index; the last is the row's, the one before its parent's.
     rows = rows.withColumn("levels", F.expr("filter(sequence(1, size(tokens)), i -> tokens[i - 1] <> '~' or mask[i - 1])"))
     rows = rows.withColumn("at", F.expr("coalesce(array_max(levels), 0)")).withColumn("up", F.expr("coalesce(array_max(filter(levels, i -> i < at)), 0)"))
@@ -155,7 +283,12 @@ _KEY = ["record_id", "version", "path", "pos", "parent_path", "parent_pos"]
 
 def found(individuals: DataFrame) -> DataFrame:
     """(record_id, path, pos) of every object that is an array's element, at any depth."""
-    return resolve(materialise(emit(individuals, payload=False, whole=False), "emission")).where("is_row").select("record_id", "path", "pos").distinct()
+    emitted = materialise(emit(individuals, whole=False), "emission")
+    # In the record single objects are never elements, so an element's indices are its tokens without those of single objects; only
+    # the phenopacket's places have to be resolved.
+    plain = emitted.where("kind = 'element' and tag like 'record%'").selectExpr("record_id", "translate(tag, '\x02', '.') as path", "translate(replace(raw, '~.', ''), '/', '.') as pos")
+    placed = resolve(emitted, "tag not like 'record%'").where("is_row").select("record_id", "path", "pos")
+    return plain.unionByName(placed).distinct()
 
 
 def links(individuals: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """Operators on hand-written rows: quirks, nulls, empty tables, ties, repeated rows, clashing names."""
 
 import json
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -331,3 +333,73 @@ def test_intermediate_tables_live_in_the_shared_folder(spark, tmp_path):
     assert path.startswith(session.shared_dir(spark)) and out.count() == 5
     session._MADE[:] = [path]
     assert session.drop_scratch(spark) == 1 and session._MADE == []
+
+
+def test_json_of_any_depth_is_read():
+    deep = '{"a":[' * 30_000 + '"x"' + "]}" * 30_000
+    value, depth = nested._loads(deep), 0
+    while isinstance(value, dict):
+        value, depth = value["a"][0], depth + 1
+    assert (value, depth) == ("x", 30_000)
+    for text in ('{"a": [1, -2.5e3, true, null, "q\\u00e9", {}, []], "b": {"c": ""}}', "[]", "3", '"s"', " {} "):
+        assert nested._deep(text) == json.loads(text)
+    for text in ("{", '{"a"}', "[1,]", '{"a":1,}', "[1] 2", "", "[1 2]", '{"a":1]', "tru"):
+        with pytest.raises(ValueError):
+            nested._deep(text)
+
+
+def test_terms_are_tagged_alike_by_one_dictionary_and_by_shards(spark):
+    v = spark.createDataFrame([("acid", "1"), ("fatty acid", "2"), ("fatty acid oxidation", "3"), ("oxidation defect", "4"), ("acid", "5"), (None, "6"), ("x", None)], "term string, id string")
+    g = spark.createDataFrame([("ABC1", "g1"), ("BC1", "g2")], "symbol string, id string")
+    texts = [(1, "A Fatty Acid oxidation defect; acid."), (2, "fattyacid acids ABC1 abc1 XABC1"), (3, None), (4, ""), (5, "acid-base fatty acid")]
+    d = spark.createDataFrame(texts, "key int, text string")
+    want = {1: (["1", "3", "5"], [], ["acid", "fatty acid oxidation"]), 2: (["g1"], ["ABC1"], []), 3: ([], [], []), 4: ([], [], []), 5: (["1", "2", "5"], [], ["acid", "fatty acid"])}
+    for n in (100, 2):
+        assert {r.key: (r.ids, r.genes, r.terms) for r in scope.tag(d, v, g, shard_terms=n).collect()} == want
+
+
+def test_interpolation_equals_numpy(spark):
+    r = random.Random(3)
+    points = sorted((float(k), r.random()) for k in r.sample(range(5000), 400))
+    keys = [r.randint(-100, 5100) for _ in range(500)]
+    x = overview.interpolate(spark.createDataFrame([(k,) for k in keys], "k int"), spark.createDataFrame([*points, (None, 1.0)], "k double, v double"))
+    want = sorted((k, round(float(np.interp(k, *zip(*points, strict=True))), 9)) for k in keys)
+    assert sorted((a, round(b, 9)) for a, b in x.collect()) == want
+    assert overview.interpolate(spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([], "k double, v double")).first().v is None
+
+
+def test_of_repeated_anchors_the_last_counts(spark):
+    docs = spark.createDataFrame([("1", "# T\n\n## S [sec:1]\n\n[sec:1 ¶1] first text\n\n[sec:1 ¶1] second text"), ("2", None)], "pmid string, text string")
+    q = spark.createDataFrame([("1", "sec:1 ¶1", "second text"), ("1", "sec:1 ¶1", "first text"), ("1", None, "nowhere"), ("2", "title", "x"), ("3", "title", ""), (None, "title", "x")], "pmid string, anchor string, quote string")
+    got = {(r.pmid, r.quote): (r.anchor_exists, r.in_anchor, r.in_document) for r in anchors.verify_quotes(q, docs).collect()}
+    assert got == {("1", "second text"): (True, True, True), ("1", "first text"): (True, False, True), ("1", "nowhere"): (False, False, False), ("2", "x"): (False, False, False), ("3", ""): (False, False, False), (None, "x"): (False, False, False)}
+
+
+def test_damaged_and_faulty_xml_costs_its_own_rows_only(spark):
+    one = "<PubmedArticle><MedlineCitation><PMID>{}</PMID><Article><ArticleTitle>t</ArticleTitle>{}</Article></MedlineCitation></PubmedArticle>"
+    bad = one.format(2, "<ArticleDate><Year>19x</Year></ArticleDate>")
+    texts = [("set", f"<S>{one.format(1, '')}{bad}{one.format(3, '')}</S>"), ("cut", f"<S>{one.format(4, '')}{one.format(5, '')[:60]}")]
+    got = sorted((r.source, r.pmid, r.error is None) for r in xml.citations(spark.createDataFrame(texts, "source string, xml string")).collect() if r.pmid)
+    assert got == [("cut", "4", True), ("set", "1", True), ("set", "2", False), ("set", "3", True)]
+    a = '<article><front><license xmlns:x="l" x:href="http://cc"><license-p> </license-p></license><article-title>T</article-title></front><body><sec><title>S</title><p>one</p></sec><sec><p>tw'
+    r = xml.articles(spark.createDataFrame([("k", a), ("n", None)], "key string, xml string")).where("key = 'k'").first()
+    assert r.error and r.title == "T" and r.meta["license"] == "http://cc" and [s.title for s in r.sections] == ["S", "(untitled)"]
+
+
+def test_model_of_missing_units_is_right_where_it_is_sure(spark):
+    d = "/root/testdata/sf0.01"
+    rows = {r.confident: r for r in harmonise.held_out(spark.read.parquet(f"{d}/measurements.parquet"), spark.read.parquet(f"{d}/analytes_builtin.parquet")).collect()}
+    assert rows[True].share >= 0.9 and rows[True].n >= 50
+
+
+def test_grounding_cascades_with_their_fuzzy_tiers(spark):
+    names = spark.createDataFrame([("short stature", "HP:1", "short stature", 0), ("small body size", "HP:1", "short stature", 2), ("long fingers", "HP:2", "long fingers", 0)], "name string, id string, label string, prio int")
+    texts = spark.createDataFrame([("Short stature", "HP:1"), ("short stature", None), ("small body size", None), ("short statur", None), ("blue eyes", "HP:2"), ("nothing", "HP:9"), (None, "HP:1")], "text string, supplied string")
+    got = {r.text: (r.id, r.status, r.confidence, r.method) for r in grounding.ground_phenotypes(texts, names).collect()}
+    assert got["Short stature"] == ("HP:1", "grounded", 0.95, "supplied+verified") and got["short stature"] == ("HP:1", "grounded", 0.95, "exact")
+    assert got["small body size"] == ("HP:1", "grounded", 0.85, "synonym") and got["short statur"][::3] == ("HP:1", "fuzzy") and got["short statur"][1] == "grounded"
+    assert got["blue eyes"] == ("HP:2", "candidate", 0.5, "supplied-unverified") and got["nothing"] == (None, "unresolved", None, "fuzzy") and None not in got
+    lex = spark.createDataFrame([("abc def", "A"), ("abd def", "B"), ("zzz", "C")], "key string, label string")
+    t = spark.createDataFrame([("abc deg",)], "text string")
+    whole, cut = ([tuple(r) for r in grounding.fuzzy(t, lex, "phenotype", shard_rows=n).orderBy("rank").collect()] for n in (100, 1))
+    assert whole == cut and len(whole) == 2
