@@ -3,7 +3,8 @@
 1. Document frequencies of words over all documents, per language and overall (partial counts per Arrow batch, summed in the
    JVM). A word's weight is minus the log of its largest share of documents in any language, so the set phrases of a small
    language weigh as little as those of a large one. The model keeps at most `MAX_TERMS` words.
-2. Every document becomes the ids of its known words, written once to the shared folder.
+2. Every document becomes the ids of its known words, sentence by sentence, written once to the shared folder; all later passes
+   read these.
 3. Truncated SVD by randomised subspace iteration over all documents: each pass multiplies AᵀA by a thin matrix that is held
    by every task; partial products are summed `FAN` at a time in two rounds, so no worker ever holds more than `FAN` of them,
    and the driver adds what is left one by one.
@@ -81,11 +82,19 @@ def weights(docs: DataFrame, max_terms: int = MAX_TERMS) -> tuple[list[str], np.
     return [r[0] for r in rows], np.array([-np.log(r[2]) for r in rows], dtype=np.float32), langs
 
 
+STOP = -2  # ends a sentence among the ids
+
+
 def _known(words: list[str]):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = {w: i for i, w in enumerate(words)}
+        get = ({w: i for i, w in enumerate(words)} | {_END: STOP}).get
         for pdf in it:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang": pdf["lang"], "ids": [[ids[w] for w in set(tokens(t)) if w in ids] for t in pdf["text"]]})
+            out = []
+            for text in pdf["text"]:
+                a = np.fromiter((get(w, -1) for w in tokens(text)), dtype=np.int32)
+                a = a[a != -1]
+                out.append(a[(a != STOP) | np.append(a[1:] != STOP, False)])  # one end per sentence with known words
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang": pdf["lang"], "ids": out})
 
     return run
 
@@ -93,6 +102,8 @@ def _known(words: list[str]):
 def _dense(ids: pd.Series, weight: np.ndarray) -> np.ndarray:
     a = np.zeros((len(ids), len(weight)), dtype=np.float32)
     for n, i in enumerate(ids):
+        i = np.asarray(i, dtype=np.int64)
+        i = i[i >= 0]
         a[n, i] = weight[i]
     return a / (np.linalg.norm(a, axis=1, keepdims=True) + 1e-9)
 
@@ -213,22 +224,18 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
     return np.where(n > 1e-9, m / np.maximum(n, 1e-9), 0)
 
 
-def _assign(names: list[str], words: list[str], weight: np.ndarray, basis: np.ndarray, c: np.ndarray):
+def _assign(names: list[str], weight: np.ndarray, basis: np.ndarray, c: np.ndarray):
     terms = (weight[:, None] * basis).astype(np.float32)
     s = len(names)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = {w: i for i, w in enumerate(words)} | {_END: -2}
-        get = ids.get
         for pdf in _blocks(it, 256):
             parts, doc = [], []
-            for n, text in enumerate(pdf["text"]):
-                a = np.fromiter((get(w, -1) for w in tokens(text)), dtype=np.int64)
-                parts.append(a)
-                parts.append(np.array([-2]))
-                doc.append(np.full(len(a) + 1, n))
+            for n, ids in enumerate(pdf["ids"]):
+                parts += [np.asarray(ids, dtype=np.int64), np.array([STOP])]
+                doc.append(np.full(len(ids) + 1, n))
             a, d = np.concatenate(parts), np.concatenate(doc)
-            sentence = np.cumsum(a == -2)
+            sentence = np.cumsum(a == STOP)
             keep = a >= 0
             a, d, sentence = a[keep], d[keep], sentence[keep]
             if not len(a):
@@ -262,7 +269,7 @@ def assign(documents: DataFrame, subjects: DataFrame, labels: DataFrame) -> Data
     rows = materialise(docs.mapInPandas(_known(words), "doc_id bigint, lang string, ids array<int>"), "known-words")
     basis = decompose(rows, weight)
     c = centroids(rows, labels, listed, words, weight, langs, basis)
-    return docs.select("doc_id", "text").mapInPandas(_assign([s for s, _ in listed], words, weight, basis, c), "doc_id bigint, subject string, share double")
+    return rows.select("doc_id", "ids").mapInPandas(_assign([s for s, _ in listed], weight, basis, c), "doc_id bigint, subject string, share double")
 
 
 def found(documents: DataFrame, subjects: DataFrame, labels: DataFrame) -> DataFrame:
