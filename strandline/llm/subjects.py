@@ -21,6 +21,7 @@ labels the descriptions alone seed the centroids; empty tables give an empty res
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,8 +44,14 @@ _PUNCTUATION = ".,;:()[]\"“”„«»!?*#|–—…"
 _END = "\x00"
 
 
+# Rows, headings and footnotes of tables are no sentences.
+_TABLE = re.compile(r"^(?:\||#{2,4} Table |Footnotes:).*$", re.M)
+
+
 def tokens(text: str) -> list[str]:
-    """Lower-case words with `_END` between sentences."""
+    """Lower-case words with `_END` between sentences; tables are left out."""
+    if "\n|" in text:
+        text = _TABLE.sub("", text)
     t = text.lower().replace("\n", f" {_END} ")
     for c in ".!?":
         t = t.replace(f"{c} ", f" {_END} ")
@@ -54,7 +61,7 @@ def tokens(text: str) -> list[str]:
 
 
 def _word(w: str) -> bool:
-    return 2 < len(w) <= 40 and not any(c.isdigit() for c in w)
+    return 2 < len(w) <= 40 and not any(c.isdigit() for c in w) and any(map(str.isalpha, w))
 
 
 def _counts(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
