@@ -191,15 +191,27 @@ def text_digests(spark: SparkSession, d: str) -> DataFrame:
     return x.select("doc_id", F.when(F.coalesce("text", F.lit("")) != "", F.sha2("text", 256)).alias("input_sha256"))
 
 
-_UNITS = ", ".join(f"('{k}', '{v}')" for k, v in text.UNIT_SPELLINGS.items())
-_FILL = "|".join(sorted(text.ANALYTE_FILLERS, key=len, reverse=True))
+# Fixed values of the SQL, written out apart from the operators' own.
+_UNITS = (
+    "('umol/l', 'umol/L'), ('µmol/l', 'umol/L'), ('micromol/l', 'umol/L'), ('mmol/l', 'mmol/L'), ('nmol/l', 'nmol/L'), ('pmol/l', 'pmol/L'), ('mol/l', 'mol/L'), ('mg/dl', 'mg/dL'), ('g/dl', 'g/dL'), "
+    "('ug/dl', 'ug/dL'), ('µg/dl', 'ug/dL'), ('ng/dl', 'ng/dL'), ('mg/l', 'mg/L'), ('g/l', 'g/L'), ('ug/l', 'ug/L'), ('µg/l', 'ug/L'), ('ng/l', 'ng/L'), ('ng/ml', 'ng/mL'), ('ug/ml', 'ug/mL'), "
+    "('µg/ml', 'ug/mL'), ('mg/ml', 'mg/mL'), ('nmol/ml', 'nmol/mL'), ('umol/ml', 'umol/mL'), ('µmol/ml', 'umol/mL'), ('pmol/ml', 'pmol/mL'), ('u/l', 'U/L'), ('iu/l', '[IU]/L'), ('mu/l', 'mU/L'), "
+    "('miu/l', 'm[IU]/L'), ('ku/l', 'kU/L'), ('mmol/mol creatinine', 'mmol/mol{creat}'), ('mmol/mol creat', 'mmol/mol{creat}'), ('mmol/mol cr', 'mmol/mol{creat}'), ('mmol/mol', 'mmol/mol{creat}'), "
+    "('umol/mmol creatinine', 'umol/mmol{creat}'), ('µmol/mmol creatinine', 'umol/mmol{creat}'), ('umol/mmol', 'umol/mmol{creat}'), ('mg/g creatinine', 'mg/g{creat}'), ('mg/g creat', 'mg/g{creat}'), "
+    "('ug/mg creatinine', 'ug/mg{creat}'), ('mmhg', 'mm[Hg]'), ('kpa', 'kPa'), ('%', '%'), ('percent', '%'), ('nmol/h/mg protein', 'nmol/h/mg{protein}'), ('nmol/min/mg protein', 'nmol/min/mg{protein}'), "
+    "('nmol/h/mg', 'nmol/h/mg{protein}'), ('umol/h/mg protein', 'umol/h/mg{protein}'), ('pmol/min/mg', 'pmol/min/mg{protein}'), ('nmol/17h/mg protein', 'nmol/(17.h)/mg{protein}'), "
+    "('nmol/mg protein/h', 'nmol/h/mg{protein}'), ('meq/l', 'meq/L'), ('g/kg/day', 'g/kg/d'), ('mg/kg/day', 'mg/kg/d'), ('mg/kg', 'mg/kg'), ('iu/kg', '[IU]/kg'), ('cells/ul', '/uL'), ('x10^9/l', '10*9/L'), "
+    "('10^9/l', '10*9/L'), ('x109/l', '10*9/L'), ('g/mol', 'g/mol'), ('sec', 's'), ('s', 's'), ('min', 'min')"
+)
+_FILL = "cerebrospinal fluid|dried blood spot|concentrations|concentration|whole blood|fibroblast|leukocyte|urinary|plasma|levels|serum|blood|urine|level|csf|dbs|of"
+_ROMAN = {"viii": "8", "iii": "3", "vii": "7", "ii": "2", "iv": "4", "vi": "6", "ix": "9", "i": "1", "v": "5", "x": "10"}
 
 
 def _key_sql(col: str, keep: str, fillers: bool = False) -> str:
     s = f"lower(trim({col}, ' '))"
     for a in ("ae", "oe"):
         s = f"regexp_replace(regexp_replace({s}, '([a-z]){a}([a-z])', '\\1e\\2', 'g'), '([a-z]){a}([a-z])', '\\1e\\2', 'g')"
-    for r, n in sorted(text.ROMAN.items(), key=lambda x: -len(x[0])):
+    for r, n in _ROMAN.items():
         s = f"regexp_replace({s}, '\\btype\\s+{r}\\b', 'type {n}', 'g')"
     s = f"regexp_replace({s}, '\\b(aciduria|acidaemia)\\b', 'acidemia', 'g')"
     s = f"regexp_replace({s}, '\\bdeficiency of (.+)$', '\\1 deficiency')"

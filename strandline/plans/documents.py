@@ -126,8 +126,10 @@ def narrative_backfill(spark: SparkSession, d: str) -> DataFrame:
     docs = _docs(spark, d, "pmid", "text").select("pmid", "text")
     u = anchors.units(docs)
     r = _records(spark, d)
-    where = r.select("record_id", "pmid", "local_id", F.explode(F.array(F.lit("sec:1"), F.lit("sec:2"))).alias("anchor"))
-    return anchors.backfill(where, evidence(spark, d), u, anchors.section_titles(docs)).select("record_id", "anchor")
+    titles = anchors.section_titles(docs)
+    # There is no triage table: every section of the record's paper stands for what triage points at.
+    where = r.select("record_id", "pmid", "local_id").join(titles.select("pmid", F.concat(F.lit("sec:"), "n").alias("anchor")).distinct(), "pmid")
+    return anchors.backfill(where, evidence(spark, d), u, titles).select("record_id", "anchor")
 
 
 def table_captions(spark: SparkSession, d: str) -> DataFrame:
@@ -144,8 +146,9 @@ QUERIES = {
     "narrative_assembly": narrative_assembly,
     "narrative_backfill": narrative_backfill,
 }
-_GENERIC = anchors.GENERIC_SECTION.replace("(?i)", "")
-_SELF = anchors.SELF_REFERENCE.replace("(?i)", "")
+# Fixed values of the SQL, written out apart from the operators' own.
+_GENERIC = r"^(introduction|background|discussion|conclusion|conclusions|literature review|review of the literature|methods|materials and methods)\b"
+_SELF = r"\b(our patient|the patient|this patient|the proband|our proband|this case|our case|the present case|the index case|the child|the boy|the girl|the infant|the neonate|the fetus|the family|the siblings)\b"
 SQL = {
     "quote_verify": f"{_VERIFY} SELECT * FROM w",
     "verification_totals": f"{_VERIFY} SELECT record_id, count(*) AS total, count(*) FILTER (in_anchor) AS in_anchor, count(*) FILTER (in_document) AS in_document, count(*) FILTER (NOT in_document) AS missing FROM w GROUP BY record_id",
@@ -165,10 +168,10 @@ SQL = {
                md5(string_agg(unit, chr(10) ORDER BY rk, coalesce(n, 0), coalesce(m, 0), anchor)) AS digest FROM o GROUP BY record_id""",
     "narrative_backfill": rf"""WITH one AS (SELECT record_id, any_value(pmid) AS pmid, any_value(local_id) AS local_id, any_value(record) AS record FROM individuals WHERE record_id IS NOT NULL GROUP BY record_id), docs AS {_DOCS}, {_LINES},
         heads AS (SELECT DISTINCT k, CAST(regexp_extract(line, '\[sec:(\d+)\]\s*$', 1) AS INT) AS n, regexp_matches(line, '^#{{2,4}} {_GENERIC[1:]}', 'i') AS generic FROM state WHERE mark = 's'),
-        w AS (SELECT o.record_id, o.pmid, o.local_id, d.doc_id AS k, s.n FROM one o JOIN docs d USING (pmid) CROSS JOIN (VALUES (1), (2)) AS s(n)),
+        w AS (SELECT DISTINCT o.record_id, o.pmid, o.local_id, d.doc_id AS k, s.n FROM one o JOIN docs d USING (pmid) JOIN heads s ON s.k = d.doc_id),
         ev AS ({_EVIDENCE})
         SELECT DISTINCT record_id, 'abstract' AS anchor FROM w JOIN units u ON u.k = w.k AND u.kind = 'abstract'
-        UNION SELECT o.record_id, 'sec:' || s.n FROM one o CROSS JOIN (VALUES (1), (2)) AS s(n) LEFT JOIN docs d USING (pmid) LEFT JOIN heads h ON h.k = d.doc_id AND h.n = s.n WHERE NOT coalesce(h.generic, false)
+        UNION SELECT w.record_id, 'sec:' || w.n FROM w JOIN heads h ON h.k = w.k AND h.n = w.n WHERE NOT h.generic
         UNION SELECT w.record_id, u.anchor FROM w JOIN heads h ON h.k = w.k AND h.n = w.n AND h.generic JOIN units u ON u.k = w.k AND u.kind = 'paragraph' AND u.n = w.n
             WHERE regexp_matches(u.unit, '{_SELF}', 'i') OR (coalesce(w.local_id, '') <> '' AND contains(lower(u.unit), lower(w.local_id)))
         UNION SELECT record_id, regexp_extract(trim(anchor), '^(sec:\d+ ¶\d+|tab:\d+ r\d+)', 1) FROM ev WHERE regexp_matches(trim(anchor), '^(sec:\d+ ¶\d+|tab:\d+ r\d+)')""",

@@ -213,7 +213,13 @@ _FEATS = f"""one AS {_ONE}, docs AS {_DOCS},
     feats AS (SELECT record_id, o.pmid, record.subject.sex AS sex, authors, CASE WHEN coalesce(pub_year, 0) <> 0 THEN CAST(trunc(pub_year - {_FIRST_AGE} / 365.25) AS BIGINT) END AS birth_year FROM one o LEFT JOIN docs d ON o.pmid = d.pmid WHERE valid = 1),
     g AS (SELECT record_id, pmid, unnest(record.genetic_findings) AS x FROM one WHERE valid = 1),
     ks AS (SELECT DISTINCT record_id, pmid, upper(coalesce(x.gene_symbol, '')) || ':' || lower(regexp_replace(v, '[^A-Za-z0-9>_]', '', 'g')) AS key FROM (SELECT record_id, pmid, x, unnest([x.variant_hgvs_c, x.variant_hgvs_p, x.variant_text]) AS v FROM g WHERE x IS NOT NULL) WHERE coalesce(v, '') <> '')"""
-_KIND_RE = {k: v.replace("'", "''") for k, v in (("count", sampling.SERIES_COUNT), ("words", sampling.SERIES_WORDS), ("two", sampling.TWO_CASES), ("review", sampling.REVIEW_WORDS))}
+# Fixed values of the SQL, written out apart from the operators' own.
+_KIND_RE = {
+    "count": r"\b(?:\d+|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty)\s+(?:unrelated\s+|new\s+|additional\s+|further\s+|japanese\s+|chinese\s+|turkish\s+|italian\s+|\w+\s+)?(?:patients|cases|children|infants|siblings|sibs|families|individuals|probands|subjects|brothers|sisters|neonates|newborns|adults|women|men|boys|girls)\b",
+    "words": r"\b(case series|series of|cohort|retrospective|prospective|registry|multicenter|multicentre|natural history|long-term follow-up of \d+|clinical spectrum|in \d+ patients)\b",
+    "two": r"\b(two|three|2|3) (cases|patients|siblings|sibs|brothers|sisters|families)\b",
+    "review": r"\b(review of the literature|literature review|systematic review|review of \d+ (reported )?cases|reported cases)\b",
+}
 
 
 def _kind_sql() -> str:
@@ -222,7 +228,7 @@ def _kind_sql() -> str:
     pt = lambda *v: f"list_has_any(coalesce(pub_types, []), [{', '.join(repr(x) for x in v)}])"
     ti = "coalesce(title, '')"
     cnt = f"coalesce(nullif(regexp_extract({ti}, '({_KIND_RE['count']})', 1, 'i'), ''), nullif(regexp_extract({tx}, '({_KIND_RE['count']})', 1, 'i'), ''))"
-    return f"""CASE WHEN {has(tx, 'words')} OR {has(ti, 'count')} OR {pt(*sampling.SERIES_TYPES)} THEN CASE WHEN coalesce(regexp_matches({cnt}, '^{_KIND_RE['two']}', 'i'), false) THEN 'small_series' ELSE 'series' END
+    return f"""CASE WHEN {has(tx, 'words')} OR {has(ti, 'count')} OR {pt("Multicenter Study", "Observational Study", "Clinical Study")} THEN CASE WHEN coalesce(regexp_matches({cnt}, '^{_KIND_RE['two']}', 'i'), false) THEN 'small_series' ELSE 'series' END
         WHEN {has(ti, 'two')} OR regexp_matches(substr(coalesce(abstract, ''), 1, 300), '{_KIND_RE['two']}', 'i') THEN 'small_series'
         WHEN {pt('Case Reports')} THEN CASE WHEN {has(tx, 'review')} OR {pt('Review', 'Systematic Review')} THEN 'case_plus_review' ELSE 'single_case' END
         WHEN {has(tx, 'count')} THEN 'series' ELSE 'other' END"""
@@ -264,14 +270,15 @@ _QUOTES = "x.evidence.quote AS quote, x.evidence.anchor AS anchor, x.evidence.ve
 _FINAL = "list_filter(record.diagnoses, lambda z: z.status = 'FINAL')[1]"
 _days = {a: _days_sql(f"{_S}.{a}.iso8601") for a in validation.AGES}
 _DUR = lambda c: f"(regexp_matches({c}, '^P(\\d+Y)?(\\d+M)?(\\d+W)?(\\d+D)?(T(\\d+H)?(\\d+M)?(\\d+S)?)?$') AND {c} <> 'P')"
-_HC, _HP = validation.HGVS_C, validation.HGVS_P
+_HC = r"^c\.[\d_+\-*]+[ACGTacgt]*(>|del|dup|ins|inv|delins)?[ACGTacgt]*$|^c\.[\d_+\-*]+(del|dup|ins|inv|delins)[ACGTacgt]*\d*$"
+_HP = r"^p\.\(?[A-Z][a-z]{2}\d+(?:[A-Z][a-z]{2}|\*|=|Ter|fs.*|del.*|dup.*|ins.*)?\)?$|^p\.\(?[A-Z]\d+[A-Z*=]\)?$"
 _ISSUES = " UNION ALL ".join([
     *[f"SELECT record_id, 'error' AS severity, 'subject/{a}/iso8601' AS path, 'not an ISO 8601 duration' AS msg FROM one WHERE coalesce({_S}.{a}.iso8601, '') <> '' AND NOT {_DUR(f'{_S}.{a}.iso8601')}" for a in validation.AGES],
     f"SELECT record_id, 'warn', 'subject/age_at_onset', 'onset after presentation' FROM one WHERE {_days['age_at_onset']} > {_days['age_at_presentation']} + 1",
     f"SELECT record_id, 'warn', 'subject/age_at_death', 'death before last follow-up' FROM one WHERE {_days['age_at_death']} < {_days['age_at_last_followup']} - 1",
     f"SELECT record_id, 'info', 'subject/age_at_death', 'deceased without age at death' FROM one WHERE {_S}.vital_status = 'DECEASED' AND {_S}.age_at_death IS NULL",
-    f"SELECT record_id, 'error', 'subject', 'age > 120 years' FROM one WHERE greatest({', '.join(_days.values())}) > {validation.OLDEST_DAYS}",
-    f"SELECT record_id, 'error', 'phenotypes/' || i || '/hpo_id', 'malformed HPO id' FROM {_x('phenotypes')} WHERE coalesce(x.hpo_id, '') <> '' AND NOT regexp_matches(x.hpo_id, '{validation.HPO_ID}')",
+    f"SELECT record_id, 'error', 'subject', 'age > 120 years' FROM one WHERE greatest({', '.join(_days.values())}) > {120 * 365.25}",
+    f"SELECT record_id, 'error', 'phenotypes/' || i || '/hpo_id', 'malformed HPO id' FROM {_x('phenotypes')} WHERE coalesce(x.hpo_id, '') <> '' AND NOT regexp_matches(x.hpo_id, '^HP:\\d{{7}}$')",
     f"SELECT record_id, 'warn', 'phenotypes/' || i || '/evidence', 'no evidence quote' FROM {_x('phenotypes')} WHERE coalesce(x.evidence.quote, '') = ''",
     f"SELECT record_id, 'warn', 'measurements/' || i || '/unit', 'numeric value without unit' FROM {_x('measurements')} WHERE x.value IS NOT NULL AND coalesce(x.unit, '') = '' AND x.interpretation IS DISTINCT FROM 'UNKNOWN'",
     f"SELECT record_id, 'warn', 'measurements/' || i || '/interpretation', 'interpretation ' || x.interpretation || ' disagrees with reference range (' || e || ')' FROM (SELECT *, CASE WHEN x.value > x.reference_range.high THEN 'HIGH' WHEN x.value < x.reference_range.low THEN 'LOW' ELSE 'NORMAL' END AS e FROM {_x('measurements')}) WHERE x.value IS NOT NULL AND x.reference_range.low IS NOT NULL AND x.reference_range.high IS NOT NULL AND x.interpretation IN ('HIGH', 'LOW', 'NORMAL') AND x.interpretation <> e",
