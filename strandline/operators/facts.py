@@ -29,16 +29,16 @@ def _fact(item: Column, detail: Column, grounded: Column, ev: Column | None) ->
     return F.struct(F.coalesce(item, blank).alias("item"), F.coalesce(detail, blank).alias("detail"), F.coalesce(grounded, blank).alias("grounded"), quote.alias("quote"), anchor.alias("anchor"), status.alias("verification"))
 
 
-def _list(records: DataFrame, group: str, field: str, fact) -> DataFrame:
-    x = records.select("record_id", "pmid", F.posexplode(f"record.{field}").alias("i", "x")).where("x is not null")
-    return x.select("record_id", "pmid", F.lit(group).alias("grp"), F.col("i").cast("bigint").alias("i"), fact(F.col("x")).alias("f"))
+def _list(group: str, items: Column, fact) -> Column:  # noqa: ANN001
+    """Facts of an array's live elements, numbered by their place in it."""
+    each = F.transform(items, lambda x, i: F.struct(F.lit(group).alias("grp"), i.cast("bigint").alias("i"), F.when(x.isNotNull(), fact(x)).alias("f")))
+    return F.coalesce(F.filter(each, lambda e: e["f"].isNotNull()), F.array())
 
 
-def _packed(records: DataFrame, group: str, facts: list[Column]) -> DataFrame:
+def _packed(group: str, facts: list[Column]) -> Column:
     """Optional facts of a group, numbered in order without gaps."""
     there = F.filter(F.array(*facts), lambda f: f.isNotNull())
-    x = records.select("record_id", "pmid", F.posexplode(there).alias("i", "f"))
-    return x.select("record_id", "pmid", F.lit(group).alias("grp"), F.col("i").cast("bigint").alias("i"), "f")
+    return F.transform(there, lambda f, i: F.struct(F.lit(group).alias("grp"), i.cast("bigint").alias("i"), f.alias("f")))
 
 
 def _enzyme(x: Column) -> Column:
@@ -49,7 +49,8 @@ def _enzyme(x: Column) -> Column:
 
 
 def facts(records: DataFrame) -> DataFrame:
-    """One row per fact: `(fact_id, record_id, pmid, grp, i, item, detail, grounded, quote, anchor, verification)`."""
+    """One row per fact: `(fact_id, record_id, pmid, grp, i, item, detail, grounded, quote, anchor, verification)`. One scan, one
+    explode of all groups together."""
     s, fam = F.col("record.subject"), F.col("record.family")
     plain = [("sex", s["sex"]), ("vital_status", s["vital_status"]), ("ancestry_as_stated", s["ancestry_as_stated"]), ("country_of_care", s["country_of_care"]), ("gestational_age_weeks", s["gestational_age_weeks"].cast("string")), ("birth_weight_g", s["birth_weight_g"].cast("string"))]
     subject = [F.when(truthy(v).isNotNull() & ~v.isin("UNKNOWN_SEX", "UNKNOWN"), _fact(F.lit(k), v, F.lit(""), None)) for k, v in plain]
@@ -85,16 +86,15 @@ def facts(records: DataFrame) -> DataFrame:
         return _fact(x["text"], _text(x["type"], x["agent"], pre("response: ", x["response"]), x["response_text"]), F.lit(""), x["evidence"])
 
     o = F.col("record.outcome")
+    at = lambda field: F.col(f"record.{field}")
     parts = [
-        _packed(records, "subject", subject), _packed(records, "family", family), _list(records, "phenotype", "phenotypes", phenotype), _list(records, "measurement", "measurements", measurement),
-        _list(records, "genetic_finding", "genetic_findings", variant), _list(records, "diagnosis", "diagnoses", diagnosis), _list(records, "treatment", "treatments", treatment),
-        _packed(records, "outcome", [F.when(truthy(o["text"]).isNotNull(), _fact(F.lit("outcome"), o["text"], F.lit(""), o["evidence"]))]),
+        _packed("subject", subject), _packed("family", family), _list("phenotype", at("phenotypes"), phenotype), _list("measurement", at("measurements"), measurement),
+        _list("genetic_finding", at("genetic_findings"), variant), _list("diagnosis", at("diagnoses"), diagnosis), _list("treatment", at("treatments"), treatment),
+        _packed("outcome", [F.when(truthy(o["text"]).isNotNull(), _fact(F.lit("outcome"), o["text"], F.lit(""), o["evidence"]))]),
     ]
     if "enzyme_activities" in records.schema["record"].dataType.names:
-        parts.append(_list(records, "enzyme_activity", "enzyme_activities", _enzyme))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        parts.append(_list("enzyme_activity", at("enzyme_activities"), _enzyme))
+    out = records.select("record_id", "pmid", F.explode(F.concat(*parts)).alias("e")).select("record_id", "pmid", "e.*")
     return out.select(F.concat("record_id", F.lit("#"), "grp", F.lit(":"), "i").alias("fact_id"), "record_id", "pmid", "grp", "i", *[F.col(f"f.{c}").alias(c) for c in _FACT])
 
 
