@@ -45,3 +45,29 @@ def half_even(c: Column) -> Column:
 def hash_rank(seed: int, id_: Column) -> Column:
     """The hexadecimal SHA-1 that orders a seeded draw."""
     return F.sha1(F.concat_ws(":", F.lit(str(seed)), id_))
+
+
+def shortest(c: Column) -> Column:
+    """A double as the shortest text that reads back to it, in plain notation between 1e-4 and 1e16 and as `1.5e-07` beyond; whole
+    numbers keep `.0`."""
+    s = c.cast("string")
+    plain = F.regexp_replace(F.regexp_replace(c.cast("decimal(38,22)").cast("string"), "0+$", ""), r"\.$", ".0")
+    mantissa, exponent = F.regexp_replace(F.substring_index(s, "E", 1), r"\.0$", ""), F.substring_index(s, "E", -1)
+    power = F.concat(F.when(F.startswith(exponent, F.lit("-")), "-").otherwise("+"), F.lpad(F.regexp_replace(exponent, "^-", ""), 2, "0"))
+    return F.when(~F.contains(s, F.lit("E")), s).when((F.abs(c) >= 1e-4) & (F.abs(c) < 1e16), plain).otherwise(F.concat(mantissa, F.lit("e"), power))
+
+
+def round_binary(c: Column, digits: int) -> Column:
+    """`c` rounded to `digits` by its exact binary value, true ties to even (2.675 to 2 digits is 2.67, for it lies just below).
+
+    The product with the power of ten comes as a double and its exact error (Dekker's split), which decides apparent ties.
+    """
+    scale = float(10**digits)
+    big = c * 134217729.0
+    high = big - (big - c)
+    p = c * scale
+    error = (high * scale - p) + (c - high) * scale
+    f = F.floor(p).cast("double")
+    rest = p - f
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (f % 2 != 0))))
+    return (f + F.when(up, 1.0).otherwise(0.0)) / scale

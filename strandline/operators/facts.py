@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numbers import shortest
 from ..functions.text import age_label, truthy
 from .phenopacket import with_added
 
@@ -42,8 +43,8 @@ def _packed(group: str, facts: list[Column]) -> Column:
 
 
 def _enzyme(x: Column) -> Column:
-    number = F.when(x["value"].isNotNull(), F.trim(F.concat_ws(" ", x["value"].cast("string"), truthy(x["unit"]))))
-    percent = F.when(x["percent_of_control"].isNotNull(), F.concat(x["percent_of_control"].cast("string"), F.lit("% of control")))
+    number = F.when(x["value"].isNotNull(), F.trim(F.concat_ws(" ", shortest(x["value"]), truthy(x["unit"]))))
+    percent = F.when(x["percent_of_control"].isNotNull(), F.concat(shortest(x["percent_of_control"]), F.lit("% of control")))
     detail = _text(number, percent, F.concat(F.lit("tissue "), truthy(x["tissue"])), x["interpretation"], x["reference_text"])
     return _fact(x["enzyme_text"], detail, _text(x["gene_symbol"], x["ec_number"], sep=" "), x["evidence"])
 
@@ -51,8 +52,9 @@ def _enzyme(x: Column) -> Column:
 def facts(records: DataFrame) -> DataFrame:
     """One row per fact: `(fact_id, record_id, pmid, grp, i, item, detail, grounded, quote, anchor, verification)`. One scan, one
     explode of all groups together."""
+    records = with_added(records)
     s, fam = F.col("record.subject"), F.col("record.family")
-    plain = [("sex", s["sex"]), ("vital_status", s["vital_status"]), ("ancestry_as_stated", s["ancestry_as_stated"]), ("country_of_care", s["country_of_care"]), ("gestational_age_weeks", s["gestational_age_weeks"].cast("string")), ("birth_weight_g", s["birth_weight_g"].cast("string"))]
+    plain = [("sex", s["sex"]), ("vital_status", s["vital_status"]), ("ancestry_as_stated", s["ancestry_as_stated"]), ("country_of_care", s["country_of_care"]), ("gestational_age_weeks", shortest(s["gestational_age_weeks"])), ("birth_weight_g", shortest(s["birth_weight_g"]))]
     subject = [F.when(truthy(v).isNotNull() & ~v.isin("UNKNOWN_SEX", "UNKNOWN"), _fact(F.lit(k), v, F.lit(""), None)) for k, v in plain]
     subject += [F.when(truthy(s[k]["iso8601"]).isNotNull() | truthy(s[k]["text"]).isNotNull(), _fact(F.lit(k), age_label(s[k]), F.lit(""), s[k]["evidence"])) for k in ("age_at_onset", "age_at_presentation", "age_at_last_followup", "age_at_death")]
     family = [
@@ -66,13 +68,13 @@ def facts(records: DataFrame) -> DataFrame:
         return _fact(item, _text(pre("onset ", age_label(x["onset"])), x["severity"], x["modifier"]), _text(x["hpo_id"], x["hpo_label"], sep=" "), x["evidence"])
 
     def measurement(x: Column) -> Column:
-        number = F.concat(F.coalesce(x["value"].cast("string"), F.lit("")), F.coalesce(F.concat(F.lit(" "), truthy(x["unit"])), F.lit("")))
+        number = F.concat(F.coalesce(shortest(x["value"]), F.lit("")), F.coalesce(F.concat(F.lit(" "), truthy(x["unit"])), F.lit("")))
         signed = F.when(truthy(x["comparator"]).isNotNull() & x["value"].isNotNull(), F.concat(x["comparator"], number)).otherwise(number)
         rr = x["reference_range"]
-        ref = F.when(rr.isNotNull(), F.concat(F.lit("ref "), F.coalesce(truthy(rr["text"]), F.concat_ws("–", rr["low"].cast("string"), rr["high"].cast("string")))))
+        ref = F.when(rr.isNotNull(), F.concat(F.lit("ref "), F.coalesce(truthy(rr["text"]), F.concat_ws("–", shortest(rr["low"]), shortest(rr["high"])))))
         interp = F.when(x["interpretation"] != "UNKNOWN", x["interpretation"])
         specimen = F.when(x["specimen"] != "other", F.concat(F.lit("specimen "), truthy(x["specimen"])))
-        return _fact(x["analyte_text"], _text(F.coalesce(truthy(x["value_text"]), signed), ref, interp, specimen, pre("timing ", x["timing"]), pre("age ", age_label(x["age"]))), F.lit(""), x["evidence"])
+        return _fact(x["analyte_text"], _text(F.coalesce(truthy(x["value_text"]), signed), ref, interp, specimen, pre("timing ", x["timing"]), pre("age ", age_label(x["age"]))), _text(x["analyte"]["chebi"], x["analyte"]["label"], sep=" "), x["evidence"])
 
     def variant(x: Column) -> Column:
         item = F.coalesce(truthy(_text(x["gene_symbol"], x["variant_hgvs_c"], x["variant_hgvs_p"], sep=" ")), x["variant_text"])
@@ -80,7 +82,7 @@ def facts(records: DataFrame) -> DataFrame:
 
     def diagnosis(x: Column) -> Column:
         prior = F.when(F.size(x["prior_misdiagnoses"]) > 0, F.concat(F.lit("prior: "), F.array_join(x["prior_misdiagnoses"], "; ", "")))
-        return _fact(x["disease_text"], _text(x["status"], x["confidence_tier"], x["diagnostic_route"], pre("age at dx ", age_label(x["age_at_diagnosis"])), prior), F.lit(""), x["evidence"])
+        return _fact(x["disease_text"], _text(x["status"], x["confidence_tier"], x["diagnostic_route"], pre("age at dx ", age_label(x["age_at_diagnosis"])), prior), _text(x["disease"]["mondo"], x["disease"]["label"], sep=" "), x["evidence"])
 
     def treatment(x: Column) -> Column:
         return _fact(x["text"], _text(x["type"], x["agent"], pre("response: ", x["response"]), x["response_text"]), F.lit(""), x["evidence"])

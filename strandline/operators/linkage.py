@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numbers import birth_year
+from ..functions.numbers import birth_year, round_binary
 from ..functions.text import variant_key
 
 SHARED, SAME_SEX, OTHER_SEX, SAME_YEAR, OTHER_YEAR, SHARED_AUTHOR = 0.5, 0.1, -0.5, 0.2, -0.3, 0.15
@@ -48,5 +48,5 @@ def link(feats: DataFrame, min_score: float = 0.6) -> DataFrame:
         F.when(near, F.concat(F.lit("birth year ~"), "birth_year_a")).when(~near, F.concat(F.lit("birth years "), "birth_year_a", F.lit(" vs "), "birth_year_b")),
         F.when(shared > 0, F.concat(shared.cast("string"), F.lit(" shared authors"))),
     )
-    x = x.select("record_a", "record_b", "shared_key", shared.cast("bigint").alias("n_authors"), F.round(score, 2).alias("score"), evidence.alias("evidence"))
+    x = x.select("record_a", "record_b", "shared_key", shared.cast("bigint").alias("n_authors"), round_binary(score, 2).alias("score"), evidence.alias("evidence"))
     return x.where(F.col("score") >= min_score)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numbers import round_binary
+
 VERDICTS = ("Correct", "Partly correct", "Wrong value", "Wrong grounding", "Wrong patient", "Not in paper", "Unsure")
 
 
@@ -28,7 +30,7 @@ def metrics(decisions: DataFrame, missed: DataFrame) -> DataFrame:
     name = F.when(F.col("_g") == 1, "all").otherwise(F.col("grp"))
     x = d.select(name.alias("grp"), "n", "correct", "partly", "unsure", "wrong").join(m.select(name.alias("grp"), "missed"), "grp", "full_outer").fillna(0)
     judged = F.col("n") - F.col("unsure")
-    rate = lambda a, b: F.round(F.try_divide(a, b), 3)
+    rate = lambda a, b: round_binary(F.try_divide(a, b), 3)
     c, p, miss = F.col("correct"), F.col("partly"), F.col("missed")
     return x.select(
         "grp", "n", "correct", "partly", "unsure", "wrong", "missed", rate(c, judged).alias("precision_strict"), rate(c + p, judged).alias("precision_lenient"),
@@ -45,7 +47,7 @@ def agreement(pairs: DataFrame) -> DataFrame:
     total = cells.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("same"))
     po = F.col("same") / F.col("n")
     pe = F.coalesce("chance", F.lit(0)) / (F.col("n") * F.col("n"))
-    return total.join(chance).select("n", F.round(po, 3).alias("exact"), F.round(F.try_divide(po - pe, 1 - pe), 3).alias("kappa"))
+    return total.join(chance).select("n", round_binary(po, 3).alias("exact"), round_binary(F.try_divide(po - pe, 1 - pe), 3).alias("kappa"))
 
 
 def metrics_markdown(rows: list) -> str:
@@ -84,7 +86,7 @@ def agreement_of_pairs(pairs: DataFrame) -> DataFrame:
     t = pairs.agg(F.count("*").alias("n"), F.count_if(F.col("a") == F.col("b")).alias("same"), F.count_if(x == y).alias("side"), F.count_if(x).alias("ca"), F.count_if(y).alias("cb")).where("n > 0")
     po, pa, pb = F.col("side") / F.col("n"), F.col("ca") / F.col("n"), F.col("cb") / F.col("n")
     pe = pa * pb + (1 - pa) * (1 - pb)
-    return t.select("n", F.round(F.col("same") / F.col("n"), 3).alias("exact"), F.round(po, 3).alias("binary"), F.when(pe < 1, F.round((po - pe) / (1 - pe), 3)).alias("kappa"))
+    return t.select("n", round_binary(F.col("same") / F.col("n"), 3).alias("exact"), round_binary(po, 3).alias("binary"), F.when(pe < 1, round_binary((po - pe) / (1 - pe), 3)).alias("kappa"))
 
 
 ANSWERS = ("diagnosis_correct", "tier_correct", "narrative_complete", "narrative_has_others")
@@ -94,7 +96,7 @@ def record_answers(rows: DataFrame) -> DataFrame:
     """(question, answer, n, mean_quality): counts per answer (empty ones left out), and the mean quality over all rows."""
     parts = F.array(*[F.struct(F.lit(q).alias("question"), F.col(q).alias("answer")) for q in ANSWERS])
     per = rows.select(F.explode(parts).alias("p")).where("coalesce(p.answer, '') <> ''").groupBy("p.question", "p.answer").agg(F.count("*").alias("n"))
-    return per.join(rows.agg(F.round(F.avg("quality"), 2).alias("mean_quality")))
+    return per.join(rows.agg(round_binary(F.avg("quality"), 2).alias("mean_quality")))
 
 
 def kept_rows(decisions: DataFrame, missed: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

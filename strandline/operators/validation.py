@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numbers import ISO_DURATION, age_days
+from ..functions.numbers import ISO_DURATION, age_days, round_binary
 from ..functions.text import truthy
 
 # The accepted shapes of coding and protein variants and of phenotype identifiers.
@@ -93,7 +93,7 @@ def confidence(found: Column, r: str = "record") -> Column:
     n = sum(F.size(g) for g in groups)
     grounded = sum(F.size(F.filter(g, lambda x: F.coalesce(x["grounding"]["status"] == "grounded", F.lit(False)))) for g in groups)
     warns = F.size(F.filter(found, lambda x: x["severity"] == "warn"))
-    return F.when(n > 0, F.round(F.greatest(F.lit(0.0), grounded / n - WARN_COST * warns), 3)).otherwise(0.0)
+    return F.when(n > 0, round_binary(F.greatest(F.lit(0.0), grounded / n - WARN_COST * warns), 3)).otherwise(0.0)
 
 
 def valid(found: Column) -> Column:

@@ -297,11 +297,11 @@ SQL = {
         FROM hh LEFT JOIN gg ON gg.record_id = hh.record_id LEFT JOIN dd ON dd.text = f.disease_text""",
     "packet_actions": f"WITH one AS {_ONER} SELECT i.record_id, row_number() OVER (PARTITION BY i.record_id ORDER BY i.i) - 1 AS i, 'strandline:treatment/' || coalesce(x.type, 'None') AS agent_id, coalesce(nullif(x.agent, ''), x.text) AS agent, coalesce(o.{_FINAL.replace('record.', 'record.')}.disease_text, '') AS target FROM {_ITEMS('treatments')} i JOIN one o ON o.record_id = i.record_id".replace("o.list_filter(record.", "list_filter(o.record."),
     "packet_heads": f"WITH one AS {_ONER}, docs AS {_DOCS} SELECT record_id, coalesce(record.local_id, 'individual') AS subject, coalesce({_S}.sex, 'UNKNOWN_SEX') AS sex, CASE WHEN {_S}.vital_status IN ('ALIVE', 'DECEASED') THEN {_S}.vital_status END AS vital, CASE WHEN {_S}.vital_status IN ('ALIVE', 'DECEASED') THEN {_AGE(f'{_S}.age_at_death')} END AS death, coalesce({_AGE(f'{_S}.age_at_last_followup')}, {_AGE(f'{_S}.age_at_presentation')}) AS seen, 6 AS resources, 'https://pubmed.ncbi.nlm.nih.gov/' || o.pmid AS reference, coalesce(title, '') AS title FROM one o LEFT JOIN docs d ON d.pmid = o.pmid",
-    "review_agreement": f"WITH {_VER}, pr AS (SELECT a, b FROM v2 WHERE tier <> 'CLINICAL'), s AS (SELECT count(*) AS n, count(*) FILTER (a = b) AS same, count(*) FILTER ((a = 'Correct') = (b = 'Correct')) AS side, CAST(count(*) FILTER (a = 'Correct') AS DOUBLE) / count(*) AS p1, CAST(count(*) FILTER (b = 'Correct') AS DOUBLE) / count(*) AS p2 FROM pr), e AS (SELECT *, CAST(side AS DOUBLE) / n AS po, p1 * p2 + (1 - p1) * (1 - p2) AS pe FROM s) SELECT n, round(CAST(same AS DOUBLE) / n, 3) AS exact, round(po, 3) AS \"binary\", CASE WHEN pe < 1 THEN round((po - pe) / (1 - pe), 3) END AS kappa FROM e WHERE n > 0",
+    "review_agreement": f"WITH {_VER}, pr AS (SELECT a, b FROM v2 WHERE tier <> 'CLINICAL'), s AS (SELECT count(*) AS n, count(*) FILTER (a = b) AS same, count(*) FILTER ((a = 'Correct') = (b = 'Correct')) AS side, CAST(count(*) FILTER (a = 'Correct') AS DOUBLE) / count(*) AS p1, CAST(count(*) FILTER (b = 'Correct') AS DOUBLE) / count(*) AS p2 FROM pr), e AS (SELECT *, CAST(side AS DOUBLE) / n AS po, p1 * p2 + (1 - p1) * (1 - p2) AS pe FROM s) SELECT n, CAST(printf('%.3f', CAST(same AS DOUBLE) / n) AS DOUBLE) AS exact, CAST(printf('%.3f', po) AS DOUBLE) AS \"binary\", CASE WHEN pe < 1 THEN CAST(printf('%.3f', (po - pe) / (1 - pe)) AS DOUBLE) END AS kappa FROM e WHERE n > 0",
     "review_counts": f"WITH {_VER}, {_MIS} SELECT count(*) AS n_decisions, count(DISTINCT fact_id) AS n_facts, count(DISTINCT record_id) AS n_records, (SELECT count(*) FROM mis) AS n_missed FROM ver",
     "missed_facts": f"WITH {_VER}, {_MIS}, k AS (SELECT grp FROM mis WHERE record_id IN (SELECT record_id FROM ver WHERE record_id IS NOT NULL)) SELECT grp, count(*) AS n FROM k GROUP BY grp UNION ALL SELECT 'all', count(*) FROM k",
     "record_answers": f"""WITH one AS {_ONER}, r AS (SELECT CASE WHEN record.diagnoses[1].status = 'FINAL' THEN 'yes' ELSE 'no' END AS a, record.diagnoses[1].confidence_tier AS b, CASE WHEN len(record.narrative_anchors) > 1 THEN 'yes' ELSE '' END AS c, CASE WHEN len(record.phenotypes) > 2 THEN len(record.phenotypes) END AS q FROM one),
-        p AS (SELECT 'diagnosis_correct' AS question, a AS answer FROM r UNION ALL SELECT 'tier_correct', b FROM r UNION ALL SELECT 'narrative_complete', c FROM r) SELECT question, answer, count(*) AS n, (SELECT round(avg(q), 2) FROM r) AS mean_quality FROM p WHERE coalesce(answer, '') <> '' GROUP BY question, answer""",
+        p AS (SELECT 'diagnosis_correct' AS question, a AS answer FROM r UNION ALL SELECT 'tier_correct', b FROM r UNION ALL SELECT 'narrative_complete', c FROM r) SELECT question, answer, count(*) AS n, (SELECT CAST(printf('%.2f', avg(q)) AS DOUBLE) FROM r) AS mean_quality FROM p WHERE coalesce(answer, '') <> '' GROUP BY question, answer""",
     "reviewer_facts": f"WITH a AS ({_REC_SQL['assign_reviewers']}), f AS ({_REC_SQL['facts_flatten']}) SELECT reviewer, batch, role, grp, count(*) AS n FROM a JOIN f USING (record_id) WHERE grp IN ('phenotype', 'diagnosis') GROUP BY 1, 2, 3, 4",
     "review_units": f"WITH one AS {_ONER}, {_NAR}, u AS (SELECT DISTINCT d.pmid, u.kind, u.anchor FROM units u JOIN docs d ON d.doc_id = u.k WHERE d.pmid IN (SELECT pmid FROM one)), w AS (SELECT pmid, anchor, string_agg(DISTINCT record_id, ', ' ORDER BY record_id) AS r FROM nar GROUP BY pmid, anchor) SELECT pmid, anchor, kind, coalesce(r, '') AS records FROM u LEFT JOIN w USING (pmid, anchor)",
     "overview_patients": f"WITH {_PATIENTS} SELECT * FROM pat",

@@ -84,7 +84,7 @@ def facts_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 
 def facts_measured(spark: SparkSession, d: str) -> DataFrame:
-    """Facts of subject and measurements (numbers print differently elsewhere, so these have no SQL)."""
+    """Facts of subject and measurements."""
     return facts.facts(_recs(spark, d)).where("grp in ('subject', 'measurement')").drop("i")
 
 
@@ -266,6 +266,10 @@ _FACTS = f"""
     UNION ALL SELECT record_id || '#outcome:0', record_id, pmid, 'outcome', 'outcome', record.outcome.text, '', coalesce(record.outcome.evidence.quote, ''), coalesce(record.outcome.evidence.anchor, ''), {_STATUS('record.outcome.evidence')} FROM one WHERE coalesce(record.outcome.text, '') <> ''
     UNION ALL SELECT record_id || '#family:0', record_id, pmid, 'family', 'consanguinity', CASE WHEN record.family.consanguinity THEN 'yes' ELSE 'no' END, '', '', '', '' FROM one WHERE record.family.consanguinity IS NOT NULL
     UNION ALL SELECT record_id || '#family:' || CASE WHEN record.family.consanguinity IS NULL THEN 0 ELSE 1 END, record_id, pmid, 'family', 'family history', record.family.family_history_text, '', '', '', '' FROM one WHERE coalesce(record.family.family_history_text, '') <> ''"""
+_SUBJECT_SQL = f"""sub0 AS (SELECT record_id, pmid, unnest([{', '.join(f"CASE WHEN coalesce({v}, '') NOT IN ('', 'UNKNOWN_SEX', 'UNKNOWN') THEN struct_pack(o := {o}, item := '{k}', detail := {v}, quote := '', anchor := '', verification := '') END" for o, (k, v) in enumerate((*((k, f'{_S}.{k}') for k in ('sex', 'vital_status', 'ancestry_as_stated', 'country_of_care')), *((k, f'CAST({_S}.{k} AS VARCHAR)') for k in ('gestational_age_weeks', 'birth_weight_g')))))},
+        {', '.join(f"CASE WHEN {_age_sql(f'{_S}.{k}')} <> '' THEN struct_pack(o := {10 + o}, item := '{k}', detail := {_age_sql(f'{_S}.{k}')}, quote := coalesce({_S}.{k}.evidence.quote, ''), anchor := coalesce({_S}.{k}.evidence.anchor, ''), verification := {_STATUS(f'{_S}.{k}.evidence')}) END" for o, k in enumerate(('age_at_onset', 'age_at_presentation', 'age_at_last_followup', 'age_at_death')))}]) AS z FROM one),
+    sub AS (SELECT record_id, pmid, row_number() OVER (PARTITION BY record_id ORDER BY z.o) - 1 AS i, z.item AS item, z.detail AS detail, z.quote AS quote, z.anchor AS anchor, z.verification AS verification FROM sub0 WHERE z IS NOT NULL)"""
+_MEASURED_SQL = _fact_sql('measurement', 'measurements', 'x.analyte_text', _join_sql("coalesce(nullif(x.value_text, ''), CASE WHEN coalesce(x.comparator, '') <> '' AND x.value IS NOT NULL THEN x.comparator ELSE '' END || coalesce(CAST(x.value AS VARCHAR), '') || coalesce(' ' || nullif(x.unit, ''), ''))", "CASE WHEN x.reference_range IS NOT NULL THEN 'ref ' || coalesce(nullif(x.reference_range.text, ''), concat_ws('–', CAST(x.reference_range.low AS VARCHAR), CAST(x.reference_range.high AS VARCHAR))) END", "CASE WHEN x.interpretation <> 'UNKNOWN' THEN x.interpretation END", "CASE WHEN x.specimen <> 'other' THEN 'specimen ' || nullif(x.specimen, '') END", _pre('timing ', 'x.timing'), _pre('age ', _age_sql('x.age'))), "''")
 _QUOTES = "x.evidence.quote AS quote, x.evidence.anchor AS anchor, x.evidence.verification.in_anchor AS quote_in_anchor, x.evidence.verification.in_document AS quote_in_document"
 _FINAL = "list_filter(record.diagnoses, lambda z: z.status = 'FINAL')[1]"
 _days = {a: _days_sql(f"{_S}.{a}.iso8601") for a in validation.AGES}
@@ -309,12 +313,12 @@ _POOL = f"""docs AS {_DOCS}, pool AS (SELECT 'lang:' || coalesce(lang, 'none') A
     p4 AS (SELECT *, s1 OR s2 OR s3 AS done, count(*) FILTER (s1 OR s2 OR s3) OVER (PARTITION BY set_name, ft) AS c3 FROM p3),
     sample AS (SELECT set_name, pmid, ft, band, kind FROM (SELECT *, row_number() OVER (PARTITION BY set_name, ft, done ORDER BY h) AS r4 FROM p4) WHERE done OR r4 <= n - c3)"""
 _DEC = "dec AS (SELECT fact_id, coalesce(confidence_tier, 'none') AS grp, CASE WHEN status IS NULL THEN 'Unsure' WHEN disease_text IS NULL THEN 'Not in paper' WHEN status = 'FINAL' THEN 'Correct' WHEN status = 'DIFFERENTIAL' THEN 'Partly correct' ELSE 'Wrong value' END AS verdict, extracted_at FROM diagnoses WHERE fact_id IS NOT NULL), prim AS (SELECT * FROM dec QUALIFY row_number() OVER (PARTITION BY fact_id ORDER BY extracted_at NULLS FIRST, verdict, grp) = 1)"
-_r = lambda a, b: f"CASE WHEN ({b}) <> 0 THEN round(CAST({a} AS DOUBLE) / ({b}), 3) END"
+_r = lambda a, b: f"CASE WHEN ({b}) <> 0 THEN CAST(printf('%.3f', CAST({a} AS DOUBLE) / ({b})) AS DOUBLE) END"
 SQL = {
     "entity_links": f"""WITH {_FEATS}, pr AS (SELECT a.record_id AS record_a, b.record_id AS record_b, min(a.key) AS shared_key FROM ks a JOIN ks b ON a.key = b.key AND a.record_id < b.record_id AND a.pmid IS DISTINCT FROM b.pmid GROUP BY 1, 2),
         x AS (SELECT pr.*, fa.sex AS sa, fb.sex AS sb, nullif(fa.birth_year, 0) AS ya, nullif(fb.birth_year, 0) AS yb, len(list_intersect(coalesce(fa.authors, []), coalesce(fb.authors, []))) AS n FROM pr JOIN feats fa ON fa.record_id = record_a JOIN feats fb ON fb.record_id = record_b),
         s AS (SELECT *, coalesce(sa NOT IN ('', 'UNKNOWN_SEX') AND sb NOT IN ('', 'UNKNOWN_SEX'), false) AS ks_ FROM x),
-        z AS (SELECT *, round(0.5::DOUBLE + CASE WHEN ks_ THEN CASE WHEN sa = sb THEN 0.1 ELSE -0.5 END ELSE 0 END::DOUBLE + CASE WHEN abs(ya - yb) <= 2 THEN 0.2 WHEN abs(ya - yb) > 2 THEN -0.3 ELSE 0 END::DOUBLE + CASE WHEN n > 0 THEN 0.15 ELSE 0 END::DOUBLE, 2) AS score FROM s)
+        z AS (SELECT *, CAST(printf('%.2f', 0.5::DOUBLE + CASE WHEN ks_ THEN CASE WHEN sa = sb THEN 0.1 ELSE -0.5 END ELSE 0 END::DOUBLE + CASE WHEN abs(ya - yb) <= 2 THEN 0.2 WHEN abs(ya - yb) > 2 THEN -0.3 ELSE 0 END::DOUBLE + CASE WHEN n > 0 THEN 0.15 ELSE 0 END::DOUBLE) AS DOUBLE) AS score FROM s)
         SELECT record_a, record_b, shared_key, n AS n_authors, score, concat_ws('; ', 'shared variant ' || shared_key, CASE WHEN ks_ THEN CASE WHEN sa = sb THEN 'same sex' ELSE 'different sex' END END, CASE WHEN abs(ya - yb) <= 2 THEN 'birth year ~' || ya WHEN abs(ya - yb) > 2 THEN 'birth years ' || ya || ' vs ' || yb END, CASE WHEN n > 0 THEN n || ' shared authors' END) AS evidence FROM z WHERE score >= 0.6""",
     "variant_keys": f"WITH {_FEATS} SELECT record_id, key FROM ks",
     "birth_years": f"WITH {_FEATS} SELECT record_id, birth_year FROM feats",
@@ -326,8 +330,15 @@ SQL = {
         a AS (SELECT *, k % 3 AS who, (k // 3) // 20 + 1 AS batch FROM r), b AS (SELECT *, row_number() OVER (PARTITION BY who, batch ORDER BY k) - 1 AS j, count(*) OVER (PARTITION BY who, batch) AS n FROM a)
         SELECT record_id, ['ada', 'ben', 'cai'][who + 1] AS reviewer, batch, 'primary' AS role FROM b UNION ALL SELECT record_id, ['ada', 'ben', 'cai'][(who + 1) % 3 + 1], batch, 'second' FROM b WHERE j < round_even(n * 0.2, 0)""",
     "validate_rules": f"WITH one AS {_ONE} {_ISSUES}",
-    "record_confidence": f"WITH one AS {_ONE}, iss AS ({_ISSUES}), c AS (SELECT record_id, count(*) FILTER (severity = 'warn') AS w, count(*) FILTER (severity = 'error') AS e FROM iss GROUP BY record_id) SELECT record_id, coalesce(e, 0) = 0 AS valid, CASE WHEN ({_NALL}) > 0 THEN round(greatest(0::DOUBLE, CAST({_NGR} AS DOUBLE) / ({_NALL}) - 0.03::DOUBLE * coalesce(w, 0)), 3) ELSE 0 END::DOUBLE AS confidence FROM one LEFT JOIN c USING (record_id)".replace("CAST(len", "CAST((len").replace(" AS DOUBLE) / (", ") AS DOUBLE) / ("),
+    "record_confidence": f"WITH one AS {_ONE}, iss AS ({_ISSUES}), c AS (SELECT record_id, count(*) FILTER (severity = 'warn') AS w, count(*) FILTER (severity = 'error') AS e FROM iss GROUP BY record_id) SELECT record_id, coalesce(e, 0) = 0 AS valid, CASE WHEN ({_NALL}) > 0 THEN CAST(printf('%.3f', greatest(0::DOUBLE, CAST({_NGR} AS DOUBLE) / ({_NALL}) - 0.03::DOUBLE * coalesce(w, 0))) AS DOUBLE) ELSE 0 END::DOUBLE AS confidence FROM one LEFT JOIN c USING (record_id)".replace("CAST(len", "CAST((len").replace(" AS DOUBLE) / (", ") AS DOUBLE) / ("),
     "facts_flatten": f"WITH one AS {_ONE} SELECT * FROM ({_FACTS})",
+    "facts_measured": f"""WITH one AS {_ONE}, {_SUBJECT_SQL}
+        SELECT record_id || '#subject:' || i AS fact_id, record_id, pmid, 'subject' AS grp, item, detail, '' AS grounded, quote, anchor, verification FROM sub
+        UNION ALL {_MEASURED_SQL}""",
+    "case_sheets": f"""WITH one AS {_ONE}, {_SUBJECT_SQL}, f AS (SELECT record_id, 'subject' AS grp, i, item, detail, anchor, verification FROM sub UNION ALL SELECT record_id, grp, CAST(regexp_extract(fact_id, ':(\\d+)$', 1) AS BIGINT), item, detail, anchor, verification FROM ({_FACTS} UNION ALL {_MEASURED_SQL})),
+        l AS (SELECT record_id, grp, i, '- ' || CASE verification WHEN 'in anchor' THEN '✓' WHEN 'in document' THEN '~' WHEN 'NOT FOUND' THEN '✗' ELSE '·' END || ' ' || coalesce(item, '') || CASE WHEN coalesce(detail, '') <> '' THEN ' — ' || detail ELSE '' END || CASE WHEN coalesce(anchor, '') <> '' THEN ' [' || anchor || ']' ELSE '' END AS line FROM f),
+        g AS (SELECT record_id, grp, list_position(['subject', 'family', 'phenotype', 'measurement', 'genetic_finding', 'diagnosis', 'treatment', 'outcome'], grp) AS o, string_agg(line, chr(10) ORDER BY i) AS body FROM l GROUP BY record_id, grp)
+        SELECT record_id, '# ' || record_id || chr(10) || chr(10) || string_agg('## ' || grp || chr(10) || body, chr(10) || chr(10) ORDER BY o) AS sheet FROM g GROUP BY record_id""",
     "fact_counts": f"""WITH one AS {_ONE}, f AS (SELECT grp, verification FROM ({_FACTS}) UNION ALL SELECT 'measurement', {_STATUS('x.evidence')} FROM {_x('measurements')}
         UNION ALL SELECT 'subject', '' FROM (SELECT unnest([CASE WHEN {_S}.sex NOT IN ('UNKNOWN_SEX', 'UNKNOWN') THEN {_S}.sex END, CASE WHEN {_S}.vital_status NOT IN ('UNKNOWN_SEX', 'UNKNOWN') THEN {_S}.vital_status END, {_S}.ancestry_as_stated, {_S}.country_of_care, CAST({_S}.gestational_age_weeks AS VARCHAR), CAST({_S}.birth_weight_g AS VARCHAR)]) AS v FROM one) WHERE coalesce(v, '') <> ''
         UNION ALL SELECT 'subject', {_STATUS('a.evidence')} FROM (SELECT unnest([{_S}.age_at_onset, {_S}.age_at_presentation, {_S}.age_at_last_followup, {_S}.age_at_death]) AS a FROM one) WHERE coalesce(a.iso8601, '') <> '' OR coalesce(a.text, '') <> '')
@@ -350,7 +361,7 @@ SQL = {
     "kappa": """WITH b AS (SELECT doc_id FROM subject_labels GROUP BY doc_id HAVING count(DISTINCT rater) = 2), g AS (SELECT doc_id, subject FROM b, subjects),
         x AS (SELECT CASE WHEN EXISTS (SELECT 1 FROM subject_labels l WHERE l.doc_id = g.doc_id AND l.subject = g.subject AND l.rater = 1) THEN 'yes' ELSE 'no' END AS a, CASE WHEN EXISTS (SELECT 1 FROM subject_labels l WHERE l.doc_id = g.doc_id AND l.subject = g.subject AND l.rater = 2) THEN 'yes' ELSE 'no' END AS b FROM g),
         t AS (SELECT count(*) AS n, count(*) FILTER (a = b) AS same, sum(CASE WHEN a = 'yes' THEN 1 ELSE 0 END) AS ay, sum(CASE WHEN b = 'yes' THEN 1 ELSE 0 END) AS bym FROM x),
-        p AS (SELECT n, CAST(same AS DOUBLE) / n AS po, CAST(ay * bym + (n - ay) * (n - bym) AS DOUBLE) / (n * n) AS pe FROM t) SELECT n, round(po, 3) AS exact, round((po - pe) / (1 - pe), 3) AS kappa FROM p""",
+        p AS (SELECT n, CAST(same AS DOUBLE) / n AS po, CAST(ay * bym + (n - ay) * (n - bym) AS DOUBLE) / (n * n) AS pe FROM t) SELECT n, CAST(printf('%.3f', po) AS DOUBLE) AS exact, CAST(printf('%.3f', (po - pe) / (1 - pe)) AS DOUBLE) AS kappa FROM p""",
     "overview_percentiles": "WITH w AS (SELECT coalesce(lang, 'none') AS lang, len(string_split(trim(regexp_replace(text, '[ \\t\\r\\n]+', ' ', 'g')), ' ')) AS words FROM documents WHERE text IS NOT NULL) SELECT lang, count(*) AS n, min(words) AS low, max(words) AS high, round(avg(words), 4) AS mean, quantile_cont(words, 0.05) AS p5, quantile_cont(words, 0.25) AS p25, quantile_cont(words, 0.5) AS p50, quantile_cont(words, 0.75) AS p75, quantile_cont(words, 0.95) AS p95 FROM w GROUP BY lang",
     "dense_year_axis": "SELECT CAST(y AS INT) AS pub_year, count(d.doc_id) AS n FROM generate_series(1980, 2030) AS g(y) LEFT JOIN documents d ON d.pub_year = y GROUP BY y",
     "band_crosstab": f"WITH x AS (SELECT {_BAND} AS band, CASE WHEN coalesce(license, '') = '' THEN 'none' WHEN contains(lower(license), 'nc') THEN 'non-commercial' WHEN contains(lower(license), 'cc0') OR contains(lower(license), 'cc by') THEN 'open' ELSE 'other' END AS licence FROM documents) SELECT CASE WHEN grouping(band) = 1 THEN 'total' ELSE band END AS band, CASE WHEN grouping(licence) = 1 THEN 'total' ELSE licence END AS licence, count(*) AS n FROM x GROUP BY CUBE (band, licence)",

@@ -151,3 +151,17 @@ def test_analyte_peeling():
     assert labtext.parse_analyte("A acid + B acid (sum)").composite
     assert labtext.parse_analyte("").core == ""
     assert labtext.parse_disease("Severe X type-2 (OMIM 123456), neonatal form") == ("X type 2", "123456")
+
+
+def test_numbers_as_text_and_binary_rounding(spark):
+    import random
+
+    from strandline.functions import numbers
+
+    r = random.Random(4)
+    values = [0.0, -0.5, 2.675, 1.005, 0.0625, 0.1875, 2.5, 12.0, 1e-4, 9.9e-5, 1.5e-7, 1e7, 123456789.125, 1e15, 1e16, 3e22, -7.25e-9, *(r.uniform(-10, 10) for _ in range(300)), *(r.randint(0, 999) / r.randint(1, 999) for _ in range(300)), *(r.randint(-99999, 99999) / 2000 for _ in range(300))]
+    from pyspark.sql import functions as F
+
+    x = spark.createDataFrame([(v,) for v in values], "v double").select("v", numbers.shortest(F.col("v")).alias("s"), *[numbers.round_binary(F.col("v"), n).alias(f"r{n}") for n in (2, 3)]).collect()
+    assert [(a.v, a.s) for a in x if a.s != repr(a.v)] == []
+    assert [(a.v, a.r2, a.r3) for a in x if abs(a.v) < 1e12 and (a.r2, a.r3) != (round(a.v, 2), round(a.v, 3))] == []
