@@ -221,16 +221,21 @@ def ground_analyte_names(spark: SparkSession, d: str) -> DataFrame:
     return grounding.ground_analyte_names(x, _entries(spark, d), fuzzy_tier=False).select("text", "label", "chebi", "vmh", "status", "confidence")
 
 
-def _grounded(spark: SparkSession, d: str) -> DataFrame:
-    """Every record once, with the answers of the cascades (fuzzy tiers left out) put back into its arrays."""
+def _grounded(spark: SparkSession, d: str, *parts: str) -> DataFrame:
+    """Every record once, with the answers of the cascades (fuzzy tiers left out) put back into its arrays; `parts` names the arrays
+    that are wanted (all by default)."""
     r = _records(spark, d)
-    p = r.select(F.explode("record.phenotypes").alias("x")).where("x is not null").select("x.text", F.col("x.hpo_id").alias("supplied"))
-    a = r.select(F.explode("record.measurements").alias("x")).where("x is not null").select(F.col("x.analyte_text").alias("text"), F.lit(None).cast("string").alias("chebi"))
     none = F.lit(None).cast("string")
-    dx = r.select(F.explode("record.diagnoses").alias("x")).where("x is not null").select(F.col("x.disease_text").alias("text"), none.alias("mondo"), none.alias("omim"), none.alias("orphanet"))
-    return ingest.ground_records(
-        r, grounding.ground_phenotypes(p, _phenotype_names(spark, d), False), grounding.ground_analyte_names(a, _entries(spark, d), False), None, grounding.ground_disease_names(dx, *_disease_ontology(spark, d), False)
-    )
+    texts = lambda field, *cols: r.select(F.explode(f"record.{field}").alias("x")).where("x is not null").select(*cols)
+    answers: dict = {}
+    if not parts or "phenotypes" in parts:
+        answers["phenotypes"] = grounding.ground_phenotypes(texts("phenotypes", "x.text", F.col("x.hpo_id").alias("supplied")), _phenotype_names(spark, d), False)
+    if not parts or "measurements" in parts:
+        answers["analytes"] = grounding.ground_analyte_names(texts("measurements", F.col("x.analyte_text").alias("text"), none.alias("chebi")), _entries(spark, d), False)
+    if not parts or "diagnoses" in parts:
+        dx = texts("diagnoses", F.col("x.disease_text").alias("text"), *[none.alias(c) for c in ("mondo", "omim", "orphanet")])
+        answers["diseases"] = grounding.ground_disease_names(dx, *_disease_ontology(spark, d), False)
+    return ingest.ground_records(r, **answers)
 
 
 def record_grounding(spark: SparkSession, d: str) -> DataFrame:

@@ -30,7 +30,7 @@ def _tables(spark: SparkSession, d: str, name: str) -> dict[str, DataFrame]:
     links = entity_links(spark, d).select("record_a", "record_b", F.lit("possible_same_individual").alias("relation"), "evidence", "score") if name == "links" else None
     told = _narratives(spark, d) if name in ("individuals", "narratives") else None
     verified = verification_totals(spark, d) if name == "individuals" else None
-    records = _recs(spark, d) if name in (*_PLAIN, "links", "narratives") else _grounded(spark, d)
+    records = _recs(spark, d) if name in (*_PLAIN, "links", "narratives") else _grounded(spark, d, "diagnoses" if name == "individuals" else name)
     return facts.export_tables(records, t(spark, d, "documents"), links, told, verified)
 
 
@@ -49,14 +49,17 @@ def export_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 # -- phenopackets ----------------------------------------------------------------------------------------------------
-def _packets(spark: SparkSession, d: str) -> DataFrame:
+def _packets(spark: SparkSession, d: str, *parts: str) -> DataFrame:
     title = _docs(spark, d, "pmid", "title").select("pmid", "title")
-    x = phenopacket.with_added(_grounded(spark, d)).join(title, "pmid", "left")
+    x = phenopacket.with_added(_grounded(spark, d, *parts)).join(title, "pmid", "left")
     return x.select("record_id", phenopacket.phenopacket(F.col("record"), F.col("record_id"), F.col("pmid"), F.col("title")).alias("p"))
 
 
+_NEEDS = {"p.phenotypicFeatures": "phenotypes", "p.measurements": "measurements", "p.diseases": "diagnoses", "p.medicalActions": "diagnoses"}
+
+
 def _rows(spark: SparkSession, d: str, path: str, *cols) -> DataFrame:  # noqa: ANN002
-    return _packets(spark, d).select("record_id", F.posexplode(path).alias("i", "x")).select("record_id", F.col("i").cast("bigint").alias("i"), *cols)
+    return _packets(spark, d, _NEEDS[path]).select("record_id", F.posexplode(path).alias("i", "x")).select("record_id", F.col("i").cast("bigint").alias("i"), *cols)
 
 
 def packet_features(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +78,7 @@ def packet_diseases(spark: SparkSession, d: str) -> DataFrame:
 
 def packet_variants(spark: SparkSession, d: str) -> DataFrame:
     """Variants of the interpretations, with what each says of the diagnosis."""
-    x = _packets(spark, d).select("record_id", F.col("p.interpretations")[0].alias("n"))
+    x = _packets(spark, d, "diagnoses").select("record_id", F.col("p.interpretations")[0].alias("n"))
     x = x.where("n is not null").select("record_id", F.col("n.id").alias("interpretation"), F.col("n.progressStatus").alias("progress"), F.col("n.diagnosis.disease.id").alias("disease"), F.posexplode_outer("n.diagnosis.genomicInterpretations").alias("i", "g"))
     v, c = F.col("g.variantInterpretation.variationDescriptor"), F.col("g.variantInterpretation.acmgPathogenicityClassification")
     said = F.array_join(F.transform(v["expressions"], lambda e: F.concat_ws("=", e["syntax"], e["value"])), ";")
@@ -88,7 +91,7 @@ def packet_actions(spark: SparkSession, d: str) -> DataFrame:
 
 def packet_heads(spark: SparkSession, d: str) -> DataFrame:
     """Subject and metadata of every phenopacket."""
-    p = _packets(spark, d)
+    p = _packets(spark, d, "diagnoses")
     m, s = F.col("p.metaData"), F.col("p.subject")
     return p.select("record_id", s["id"].alias("subject"), s["sex"].alias("sex"), s["vitalStatus"]["status"].alias("vital"), s["vitalStatus"]["timeOfDeath"]["age"]["iso8601duration"].alias("death"), s["timeAtLastEncounter"]["age"]["iso8601duration"].alias("seen"), F.size(m["resources"]).cast("bigint").alias("resources"), m["externalReferences"][0]["reference"].alias("reference"), m["externalReferences"][0]["description"].alias("title"))
 
