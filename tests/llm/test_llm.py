@@ -189,6 +189,29 @@ def test_confidences_are_learnt_without_labels(spark):
     assert len({round(c, 3) for c in got.values()}) > 5
 
 
+def test_repeated_descriptions_do_not_shift_the_confidences(spark):
+    """The same records under other keys, eight times: persons described anew are still found, with the confidence they had."""
+    r = random.Random(17)
+    rows, papers, same = [], [], set()
+    for i in range(80):
+        sex, year, place = r.choice(["MALE", "FEMALE"]), r.randint(1960, 2000), f"Land{r.randint(0, 9)}"
+        for k in range(3):  # two descriptions of one person, and another carrier
+            who = (sex, year + k, place) if k < 2 else (r.choice(["MALE", "FEMALE"]), year + r.choice([-4, -3, 3, 4]), f"Land{r.randint(10, 19)}")
+            texts = lambda: [("".join(r.choice("abcdefghij") for _ in range(12)),) for _ in range(3)]
+            papers.append((f"{i}-{k}", 2010 + k, [f"Author{i} A", f"Other{i * 3 + k} B", f"Third{i * 3 + k} C"]))
+            rows.append((f"{i:03}-{k}", f"{i}-{k}", (who[0], who[2], (f"P{2010 + k - who[1]}Y",)), [("GEN1", f"c.{3 * i + 1}A>T", None, None)], texts(), texts()))
+        same.add((f"{i:03}-0", f"{i:03}-1"))
+
+    def tables(copies):
+        ind = spark.createDataFrame([(f"{a}/{n}", f"{b}/{n}", (s, g, d, p)) for n in range(copies) for a, b, s, g, d, p in rows], f"record_id string, pmid string, record {RECORD}")
+        return ind, spark.createDataFrame([(f"{a}/{n}", y, x, 1.0) for n in range(copies) for a, y, x in papers], "pmid string, pub_year int, authors array<string>, added_at double")
+
+    within = lambda df: {(x.record_a[:-2], x.record_b[:-2]): x for x in df.collect() if x.record_a[-2:] == x.record_b[-2:] == "/0"}
+    one, many = (within(entity_match.match(*tables(n))) for n in (1, 8))
+    assert one.keys() == many.keys() >= same and all(many[k].confidence == pytest.approx(one[k].confidence) for k in one)
+    assert within(entity_match.found(*tables(8))).keys() == same
+
+
 # -- problem 7 -------------------------------------------------------------------------------------------------------
 def test_packer_fills_and_never_overflows():
     r = random.Random(7)
