@@ -230,6 +230,18 @@ def test_the_forest_fills_clear_units_and_asks_for_the_others(spark):
     assert len(got) == 801
 
 
+def test_the_forest_settles_unreadable_units(spark):
+    lex = spark.createDataFrame([("alphonic acid", None, "metabolite", 100.0, "umol/L"), ("gammase", None, "enzyme", None, "U/L"), ("creatinine", None, "metabolite", 113.12, "umol/L")], LEX)
+    row = lambda fact, text, value, unit, ucum=None: (fact, "p", text, "plasma" if text[0] == "a" else "serum", value, unit, ucum, None, None, None, None, None)
+    clear = [row(f"u{i}", "alphonic acid", 80.0 + i % 40, "umol/L") for i in range(400)] + [row(f"e{i}", "gammase", 10.0 + i % 9, "U/L") for i in range(400)]
+    odd = [row("typo", "alphonic acid", 95.0, "umo1/L"), row("ucum", "alphonic acid", 96.0, "n/a", "umolL"), row("both", "alphonic acid", 97.0, "umo1/L", "mmol/L"), row("other", "alphonic acid", 98.0, "percentile"), row("far", "alphonic acid", 99.0, "mgd/L"), row("none", "alphonic acid", 95.0, "?")]
+    m = spark.createDataFrame(clear + odd, M)
+    got = {r.fact_id: r.common_milli for r in harmonise.found(m, lex).collect()}
+    assert got == {f[0]: round(f[4] * 1000) for f in clear} | {"typo": 95_000, "ucum": 96_000, "both": 97_000_000}
+    source = {r.fact_id: r.unit_source for r in harmonise.harmonise(m, lex).collect()}
+    assert source["typo"] == source["ucum"] == source["none"] == "model" and source["other"] == source["far"] == "review" and source["both"] == "unit_ucum"
+
+
 def test_citations_and_articles(spark):
     c = """<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>7</PMID><Article><Journal><Title>J</Title><JournalIssue><PubDate><MedlineDate>1998 Winter</MedlineDate></PubDate></JournalIssue></Journal><ArticleTitle>A <i>b</i> c</ArticleTitle>
     <Abstract><AbstractText Label="AIM">x</AbstractText><AbstractText>y</AbstractText></Abstract><AuthorList><Author><LastName>Doe</LastName><Initials>JA</Initials><AffiliationInfo><Affiliation>P</Affiliation></AffiliationInfo></Author><Author><CollectiveName>Group</CollectiveName></Author></AuthorList></Article></MedlineCitation>
